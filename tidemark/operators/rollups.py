@@ -79,6 +79,11 @@ def day_measures(
     kept with zero sums, and still take up a place in the rolling windows.
     """
     windows = dict(windows or {})
+    if not windows:
+        days = indexed_days(spine, by)
+        daily = users.groupBy(*by, "day").agg(*[F.sum(c).alias(c) for c in sums])
+        return _complete(days, daily, sums, [], by, "day")
+
     used = {p for p, _ in windows.values()}
     predicates = {n: c for n, c in (predicates or {}).items() if n in used}
     # Duplicate user-days are folded first (map-side), so a user brings at most
@@ -88,10 +93,6 @@ def day_measures(
         *[F.bool_or(c).alias(n) for n, c in predicates.items()],
     )
     days, rows = _on_spine(folded, spine, by)
-    if not windows:
-        daily = rows.groupBy(*by, "idx").agg(*[F.sum(c).alias(c) for c in sums])
-        return _complete(days, daily, sums, [], by)
-
     longest = {p: max(n for q, n in windows.values() if q == p) for p in predicates}
     later = (
         Window.partitionBy(*by, user)
@@ -130,15 +131,15 @@ def day_measures(
         .groupBy(*by, "idx")
         .agg(*[F.sum(c).alias(c) for c in [*sums, *windows]])
     )
-    return _complete(days, daily, sums, list(windows), by)
+    return _complete(days, daily, sums, list(windows), by, "idx")
 
 
-def _complete(days, daily, sums, running, by) -> DataFrame:
+def _complete(days, daily, sums, running, by, key) -> DataFrame:
     """Join the small per-day frame to the spine and run the counters over it."""
     so_far = (
         Window.partitionBy(*by).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
     )
-    full = days.join(daily, [*by, "idx"], "left")
+    full = days.join(daily, [*by, key], "left")
     return full.select(
         *by,
         "day",

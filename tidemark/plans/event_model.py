@@ -34,6 +34,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(
         date.alias("date"),
         date.cast("string").alias("day"),
+        F.hour("ts").alias("hour"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_login"),
         "user_id",
         "event_type",

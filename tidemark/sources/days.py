@@ -47,3 +47,17 @@ def indexed_days(spine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     w = Window.partitionBy(*by).orderBy("day")
     days = spine.select(*by, "day").distinct()
     return days.withColumn("idx", F.row_number().over(w) - 1)
+
+
+def trailing_days(
+    df: DataFrame, days: int = MAX_REPORT_DAYS, by: Sequence[str] = (), column: str = "day"
+) -> DataFrame:
+    """The last ``days`` calendar days up to the last day seen in ``df``."""
+    check_window(days)
+    end = F.max(F.col(column).cast("date"))
+    span = F.sequence(F.date_sub(end, days - 1), end)
+    return (
+        df.groupBy(*by)
+        .agg(span.cast("array<string>").alias("_days"))
+        .select(*by, F.explode("_days").alias("day"))
+    )
