@@ -1,0 +1,122 @@
+import json
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+
+from tidemark.fields import AGENT_EDIT, FLAG_AGENT, PROMPTS
+from tidemark.streaming import refresh
+
+
+class Landing:
+    def __init__(self, spark, root, table="user_metrics"):
+        self.spark, self.root, self.table = spark, str(root), table
+        self.landing, self.out = f"{self.root}/landing", f"{self.root}/out"
+
+    def put(self, day, delivery, rows, part="part-0"):
+        folder = f"{self.landing}/{self.table}/day={day}/delivery={delivery}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{part}.json", "w", encoding="utf-8") as f:
+            f.writelines((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in rows)
+
+    def refresh(self):
+        refresh.refresh(self.spark, self.landing, self.out, self.table, f"{self.root}/ck")
+
+    def view(self, name="user_daily_summary"):
+        return refresh.read_days(self.spark, self.out, name)
+
+
+def user(day, login, **values):
+    return {"day": day, "user_login": login, PROMPTS: 1, **values}
+
+
+def test_restated_day_replaces_old_rows(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", [user("2025-01-01", "a"), user("2025-01-01", "b")])
+    area.put("2025-01-02", "01", [user("2025-01-02", "a")])
+    area.refresh()
+    assert rows(area.view(), "day", "user_login") == [
+        ("2025-01-01", "a"), ("2025-01-01", "b"), ("2025-01-02", "a"),
+    ]
+    area.put("2025-01-01", "02", [user("2025-01-01", "c", **{PROMPTS: 5})])
+    area.refresh()
+    assert rows(area.view(), "day", "user_login", PROMPTS) == [
+        ("2025-01-01", "c", 5), ("2025-01-02", "a", 1),
+    ]
+    assert rows(refresh.user_summary(spark, area.out), "user_login", "active_days") == [
+        ("a", 1), ("c", 1),
+    ]
+
+
+def test_parts_in_separate_runs_are_all_kept(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", [user("2025-01-01", "a")], "part-0")
+    area.refresh()
+    area.put("2025-01-01", "01", [user("2025-01-01", "b")], "part-1")
+    area.refresh()
+    area.refresh()
+    assert rows(area.view(), "user_login") == [("a",), ("b",)]
+
+
+def test_empty_restatement_removes_the_day(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", [user("2025-01-01", "a")])
+    area.put("2025-01-02", "01", [user("2025-01-02", "a")])
+    area.refresh()
+    area.put("2025-01-02", "02", [""])
+    area.refresh()
+    assert rows(area.view(), "day") == [("2025-01-01",)]
+    assert rows(area.view("org_from_users"), "day") == [("2025-01-01",)]
+
+
+def test_new_field_turns_defaults_into_nulls(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", [user("2025-01-01", "a")])
+    area.refresh()
+    assert rows(area.view(), "day", AGENT_EDIT) == [("2025-01-01", 0)]
+    area.put("2025-01-02", "01", [user("2025-01-02", "a", **{AGENT_EDIT: 3})])
+    area.refresh()
+    assert rows(area.view(), "day", AGENT_EDIT) == [("2025-01-01", None), ("2025-01-02", 3)]
+    area.put("2025-01-03", "01", [user("2025-01-03", "a")])
+    area.refresh()
+    assert rows(area.view(), "day", AGENT_EDIT)[-1] == ("2025-01-03", None)
+    area.put("2025-01-02", "02", [user("2025-01-02", "a")])
+    area.refresh()
+    assert {r[1] for r in rows(area.view(), "day", AGENT_EDIT)} == {0}
+
+
+def test_malformed_line_fails_and_can_be_repeated(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", ['{"day": "2025-01-01", "user_login": '])
+    with pytest.raises(PySparkException):
+        area.refresh()
+    area.put("2025-01-01", "02", [user("2025-01-01", "a")])
+    area.refresh()
+    assert rows(area.view(), "user_login") == [("a",)]
+
+
+def test_rolling_users_are_redone_for_days_in_reach(spark, tmp_path):
+    area = Landing(spark, tmp_path)
+    for d in range(1, 11):
+        day = f"2025-01-{d:02d}"
+        area.put(day, "01", [user(day, "a", **{FLAG_AGENT: d == 1})])
+    area.refresh()
+
+    def counts():
+        return {r.day[-2:]: r.copilot_coding_agent_active_users_7d
+                for r in area.view("org_from_users").collect()}
+
+    assert [counts()[f"{d:02d}"] for d in range(1, 11)] == [1] * 7 + [0] * 3
+    area.put("2025-01-04", "02", [user("2025-01-04", "b", **{FLAG_AGENT: True})])
+    area.refresh()
+    assert [counts()[f"{d:02d}"] for d in range(1, 11)] == [1, 1, 1, 2, 2, 2, 2, 1, 1, 1]
+
+
+def test_org_table_gives_daily_and_language_views(spark, tmp_path, rows):
+    area = Landing(spark, tmp_path, "org_metrics")
+    entry = {"language": "go", "feature": "x", PROMPTS: 1}
+    area.put("2025-01-01", "01", [{"day": "2025-01-01", PROMPTS: 4,
+                                   "totals_by_language_feature": [entry, entry]}])
+    area.refresh()
+    assert rows(area.view("daily_summary"), "day", PROMPTS) == [("2025-01-01", 4)]
+    assert rows(area.view("language_summary"), "language", "activity_score") == [("go", 2)]

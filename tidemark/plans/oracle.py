@@ -519,3 +519,9 @@ put("view_documents", _ALL, " UNION ALL ".join(
   'events' AS source, 'run-1' AS run_id, '2024-02-01T00:00:00Z' AS updated_at,
   '{n}' AS view_type, ({q}) AS items"""
     for n, q in _COUNTS.items() for prefix in ("latest", "run-1")))
+
+_DELIVERED = "ev WHERE hour(ts) < 20 OR ev.day >= '2024-01-21'"
+put("refresh_available_now", f"{_EV},\nud AS ({_user_days_of(_DELIVERED)})", "SELECT * FROM ud")
+ORACLE["refresh_org_rows"] = ORACLE["daily_summary"].replace(
+    _user_days_of("ev"), _user_days_of(_DELIVERED)
+)

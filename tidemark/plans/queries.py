@@ -13,6 +13,7 @@ from ..operators import (
     allocate, kpis, languages, quality, rollups, trends, users, views, windows,
 )
 from ..sources import days, ledger, ndjson, scratch, snapshots
+from ..streaming import refresh as streaming
 from . import event_model as model
 from .ledger_model import run_events
 
@@ -538,3 +539,26 @@ def view_documents(spark, sf):
     )
     keys = ["id", "document_type", "organization", "source", "run_id", "updated_at", "view_type"]
     return docs.groupBy(*keys).agg(F.count("item").alias("items"))
+
+
+def _refreshed(spark, sf):
+    """Land a first delivery without late events, then restate the last ten days."""
+    root = scratch.fresh_dir(spark, "refresh")
+    landing, out, checkpoint = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
+    ev = model.events(spark, sf)
+    streaming.land(model.user_reports(ev.where("hour < 20")), landing, "user_metrics", "0001")
+    streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
+    restated = model.user_reports(ev.where("day >= '2024-01-21'"))
+    streaming.land(restated, landing, "user_metrics", "0002")
+    streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
+    return out
+
+
+@query
+def refresh_available_now(spark, sf):
+    return streaming.read_days(spark, _refreshed(spark, sf), "user_daily_summary")
+
+
+@query
+def refresh_org_rows(spark, sf):
+    return streaming.read_days(spark, _refreshed(spark, sf), "org_from_users")

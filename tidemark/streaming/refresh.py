@@ -8,6 +8,9 @@ A delivery replaces earlier ones of its day; deliveries are ordered by name. The
 stream only tells which days have new files. Each touched day is then read again
 in full from its newest delivery and its partition is overwritten, so a repeated
 micro-batch, or parts of one day in several micro-batches, end in the same state.
+
+A delivery that withdraws all rows of its day holds one blank line: Spark's file
+source does not report files of zero bytes.
 """
 
 from __future__ import annotations
@@ -82,11 +85,27 @@ def newest_deliveries(
     return {r.day: f"{root}/day={r.day}/delivery={r.delivery}" for r in newest}
 
 
-def _columns_by_day(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """Which top-level fields occur on which day (a few rows per day)."""
+# Marks a day that has rows, next to the names of the fields seen on it.
+_ROWS = "*"
+_FIELDS = "name string, day string"
+
+
+def _fields_by_day(spark: SparkSession, root: str, paths: list[str]) -> dict[str, set[str]]:
+    """Known fields that occur on each day. Days times known fields, so it is small."""
     text = spark.read.option("basePath", root).schema("value string, day string, delivery string")
-    keys = F.explode(F.json_object_keys("value")).alias("name")
-    return text.text(paths).select("day", keys).distinct().select("name", "day")
+    known = F.array(*[F.lit(c) for c in sorted(_KNOWN_TYPES)])
+    fields = F.coalesce(F.array_intersect(F.json_object_keys("value"), known), F.array())
+    names = F.concat(F.array(F.lit(_ROWS)), fields)
+    lines = text.text(paths).where(F.trim("value") != "")
+    found = lines.select("day", F.explode(names).alias("name")).distinct()
+    return _by_day(found)
+
+
+def _by_day(found: DataFrame) -> dict[str, set[str]]:
+    fields: dict[str, set[str]] = {}
+    for r in found.collect():
+        fields.setdefault(r.day, set()).add(r.name)
+    return fields
 
 
 def _read_days(spark: SparkSession, root: str, paths: list[str], known: set[str]) -> DataFrame:
@@ -97,44 +116,43 @@ def _read_days(spark: SparkSession, root: str, paths: list[str], known: set[str]
     """
     df = read_ndjson(spark, paths, base_path=root).drop("delivery")
     df = df.withColumn("day", F.col("day").cast("string"))
-    if not known & set(df.columns):
-        # Only empty deliveries: no fields, no rows.
-        df = spark.createDataFrame([], "day string")
-    nulls = {
-        c: F.lit(None).cast(_KNOWN_TYPES[c])
-        for c in known
-        if c not in df.columns and c in _KNOWN_TYPES
-    }
+    nulls = {c: F.lit(None).cast(_KNOWN_TYPES[c]) for c in sorted(known - set(df.columns))}
     return df.withColumns(nulls) if nulls else df
 
 
-def refresh_days(spark: SparkSession, landing: str, out: str, table: str, touched: list[str]):
-    """Bring the views of ``table`` up to date for the touched days."""
-    root, columns_at = f"{landing}/{table}", f"{out}/_columns/{table}"
+def refresh_days(
+    spark: SparkSession, landing: str, out: str, table: str, touched: list[str]
+) -> list[str]:
+    """Bring the views of ``table`` up to date for the touched days.
+
+    Returns the days that were rewritten. The field list is stored last, so a
+    refresh that failed half-way starts from the old one when it is repeated.
+    """
+    root, fields_at = f"{landing}/{table}", f"{out}/_fields/{table}"
+    stored = _read_or_none(spark, fields_at, _FIELDS)
+    before = {} if stored is None else _by_day(stored)
     paths = newest_deliveries(spark, root, touched)
+    now = _fields_by_day(spark, root, list(paths.values()))
+    after = {d: f for d, f in before.items() if d not in paths} | now
 
-    def known_fields() -> set[str]:
-        seen = _read_or_none(spark, columns_at, "name string, day string")
-        return set() if seen is None else {r.name for r in seen.select("name").distinct().collect()}
+    def seen(by_day):
+        return set().union(*by_day.values()) - {_ROWS}
 
-    before = known_fields()
-    fields = _columns_by_day(spark, root, list(paths.values()))
-    write_days(fields, columns_at)
-    known = known_fields()
-    if before and (before ^ known) & set(_KNOWN_TYPES):
+    if before and seen(before) != seen(after):
         # A field came or went, which decides null or default on every other day.
         paths = newest_deliveries(spark, root)
-    rows = _read_days(spark, root, list(paths.values()), known)
-    for view, build in _VIEWS_OF[table].items():
-        target = f"{out}/{view}"
-        built = build(rows)
-        write_days(built, target)
-        written = _read_or_none(spark, target, VIEW_SCHEMAS[view])
-        have = set()
-        if written is not None:
-            have = {r.day for r in built.select("day").distinct().collect()}
-        if set(paths) - have:
-            _drop_days(spark, target, set(paths) - have)
+    filled = [path for day, path in sorted(paths.items()) if day in after]
+    emptied = {day for day in paths if day not in after}
+    if filled:
+        rows = _read_days(spark, root, filled, seen(after))
+        for view, build in _VIEWS_OF[table].items():
+            write_days(build(rows), f"{out}/{view}")
+    for view in [*_VIEWS_OF[table], *(["org_from_users"] if table == "user_metrics" else [])]:
+        _drop_days(spark, f"{out}/{view}", emptied)
+    if now:
+        rows = [(name, day) for day, names in sorted(now.items()) for name in sorted(names)]
+        write_days(spark.createDataFrame(rows, _FIELDS), fields_at)
+    _drop_days(spark, fields_at, emptied)
     return sorted(paths)
 
 
