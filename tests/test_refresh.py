@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from tidemark.fields import AGENT_EDIT, FLAG_AGENT, PROMPTS
@@ -88,7 +89,7 @@ def test_new_field_turns_defaults_into_nulls(spark, tmp_path, rows):
 def test_malformed_line_fails_and_can_be_repeated(spark, tmp_path, rows):
     area = Landing(spark, tmp_path)
     area.put("2025-01-01", "01", ['{"day": "2025-01-01", "user_login": '])
-    with pytest.raises(PySparkException):
+    with pytest.raises((PySparkException, Py4JJavaError)):
         area.refresh()
     area.put("2025-01-01", "02", [user("2025-01-01", "a")])
     area.refresh()

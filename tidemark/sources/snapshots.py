@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fields import RAW_TABLES, VIEWS
+from ..fields import RAW_TABLES, VIEW_SCHEMAS, VIEWS
 from ..operators.views import sort_view
 
 # Views with a day column are laid out by day, so a window reads only its days.
@@ -63,21 +63,26 @@ def publish(
             df = sort_view(df, name)
         _write(df, path, fmt, by_day and "day" in df.columns)
         written[name] = {"history": path}
-    for name in frames:
-        spark = frames[name].sparkSession
-        copy = _load(spark, written[name]["history"], fmt, frames[name])
-        if fmt == "json" and kind == "views":
-            copy = sort_view(copy, name)
+    for name, df in frames.items():
         path = latest_path(root, kind, org, source, name)
-        by_day = (name in _BY_DAY or kind == "raw") and "day" in copy.columns
-        _write(copy, path, fmt, by_day)
+        by_day = (name in _BY_DAY or kind == "raw") and "day" in df.columns
+        history = written[name]["history"]
+        if kind == "raw" and fmt == "json":
+            df.sparkSession.read.text(history).write.mode("overwrite").text(path)
+        else:
+            copy = df.sparkSession.read.schema(df.schema).format(fmt).load(history)
+            copy = copy.select(*df.columns)
+            if fmt == "json":
+                copy = sort_view(copy, name)
+            _write(copy, path, fmt, by_day)
         written[name]["latest"] = path
     return written
 
 
-def _load(spark: SparkSession, path: str, fmt: str, like: DataFrame) -> DataFrame:
-    """Read a copy back with the schema it was written with (no inference)."""
-    return spark.read.schema(like.schema).format(fmt).load(path).select(*like.columns)
+def read_path(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """One written copy of a view, with its declared schema."""
+    schema = VIEW_SCHEMAS[name]
+    return spark.read.schema(schema).format(fmt).load(path).select(*schema.names)
 
 
 def read_view(
@@ -91,17 +96,14 @@ def read_view(
     """The latest copy of a known view, from the first root that has one."""
     if name not in VIEWS:
         raise ValueError(f"unknown view: {name}")
-    from ..fields import VIEW_SCHEMAS
-
     for root in roots:
         path = latest_path(root, "views", org, source, name)
         try:
-            found = spark.read.schema(VIEW_SCHEMAS[name]).format(fmt).load(path)
+            return read_path(spark, name, path, fmt)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 continue
             raise
-        return found.select(*VIEW_SCHEMAS[name].names)
     raise FileNotFoundError(f"{name} has not been published yet")
 
 
