@@ -31,8 +31,9 @@ def groups(seed, n_groups, sizes, ties=False):
 
 
 @pytest.mark.parametrize("ties", [False, True])
-@pytest.mark.parametrize("window_rows", [100_000, 4])
-def test_apportion_matches_plain_rule(spark, window_rows, ties):
+@pytest.mark.parametrize("window_rows,broadcast", [(100_000, 1000), (4, 1000), (4, 2)])
+def test_apportion_matches_plain_rule(spark, monkeypatch, window_rows, broadcast, ties):
+    monkeypatch.setattr(allocate, "BROADCAST_GROUPS", broadcast)
     made = groups(7, 30, [1, 2, 3, 8, 40], ties)
     data = [(g, i, t, s) for g, (t, shares) in made.items() for i, s in enumerate(shares)]
     df = spark.createDataFrame(data, "g bigint, pos bigint, total bigint, share double")
@@ -59,6 +60,8 @@ def test_apportion_one_group_holds_most_rows(spark):
     shares = allocate.normalised_weights(df, ["g"], "w", "pos", window_rows=300)
     out = allocate.apportion(shares, ["g"], "total", "share", "pos", window_rows=300)
     data = out.collect()
+    fused = allocate.apportion_by_weight(df, ["g"], "total", "w", "pos", window_rows=300)
+    assert sorted(map(tuple, fused.select(out.columns).collect())) == sorted(map(tuple, data))
     assert len(data) == n
     by_group = {}
     for r in sorted(data, key=lambda r: r.pos):

@@ -17,7 +17,9 @@ def col_of(c: Column | str) -> Column:
 
 def number(c: Column | str) -> Column:
     """Null reads as zero."""
-    return F.coalesce(col_of(c), F.lit(0))
+    if isinstance(c, str):
+        return F.expr(f"coalesce({c}, 0)")
+    return F.coalesce(c, F.lit(0))
 
 
 def finite_number(c: Column | str) -> Column:
@@ -33,7 +35,9 @@ def has_number(c: Column | str) -> Column:
 
 def is_true(c: Column | str) -> Column:
     """True only when the flag is strictly true; null counts as false."""
-    return F.coalesce(col_of(c), F.lit(False))
+    if isinstance(c, str):
+        return F.expr(f"coalesce({c}, false)")
+    return F.coalesce(c, F.lit(False))
 
 
 def ratio(part: Column | str, whole: Column | str, scale: int = 1) -> Column:
@@ -58,10 +62,7 @@ def acceptance_rate() -> Column:
 
 
 def chat_requests() -> Column:
-    total = number(CHAT_MODES[0])
-    for mode in CHAT_MODES[1:]:
-        total = total + number(mode)
-    return total
+    return F.expr(" + ".join(f"coalesce({m}, 0)" for m in CHAT_MODES))
 
 
 def review_touch_days() -> Column:

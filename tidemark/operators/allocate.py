@@ -1,9 +1,9 @@
 """Weights, integer apportionment, classification, scores and calendar phases.
 
-Groups may be of any size. Groups up to ``window_rows`` rows are handled by a
-window per group. Larger ones are found by a map-side combined count; their rows
-stay spread over the cluster and take the group's totals from a small joined
-frame instead.
+Groups may be of any size. Group sizes are counted first (map-side combined).
+Groups up to ``window_rows`` rows are handled by a window per group. The rows of
+larger groups stay spread over the cluster and take their group's totals from a
+joined frame with one row per large group.
 """
 
 from __future__ import annotations
@@ -19,30 +19,52 @@ from ..fields import (
 from ..functions.scalars import active_review_signal, agent_signal, passive_review_signal
 
 WINDOW_ROWS = 100_000
+# Up to so many large groups their totals are broadcast; beyond, rows are salted.
+BROADCAST_GROUPS = 10_000
 _SALTS = 32
 _CUTS = 200
 
 
-def _join_hot(items: DataFrame, hot: DataFrame, group: Sequence[str], spread: str, how: str):
-    """Join rows to one row per large group, with each group cut into salts.
+class _Hot:
+    """The large groups of a frame, one row each with the group's totals."""
 
-    There are at most rows / window_rows large groups, so copying their rows per
-    salt is cheap, and no task receives a whole large group.
-    """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    copies = hot.withColumn("_salt", salts)
-    salted = items.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)).cast("int"))
-    return salted.join(copies, [*group, "_salt"], how).drop("_salt")
+    def __init__(self, rows: DataFrame, group: Sequence[str], spread: str, small: bool):
+        self.rows, self.group, self.spread, self.small = rows, list(group), spread, small
+
+    def join(self, items: DataFrame, totals: DataFrame | None = None, how: str = "inner"):
+        """Join items to one row per large group without gathering a group in one task."""
+        totals = self.rows if totals is None else totals
+        if self.small:
+            return items.join(F.broadcast(totals), self.group, how)
+        if how == "left_anti":
+            totals = totals.select(*self.group)
+        copies = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salt = F.pmod(F.xxhash64(self.spread), F.lit(_SALTS)).cast("int")
+        salted = items.withColumn("_salt", salt)
+        return salted.join(copies, [*self.group, "_salt"], how).drop("_salt")
 
 
-def _split(items: DataFrame, group: Sequence[str], spread: str, stats, window_rows: int):
-    """(rows of ordinary groups, rows of large groups with their stats, the stats)."""
+def _large_groups(
+    items: DataFrame, group: Sequence[str], spread: str, window_rows: int, stats: Sequence[Column]
+) -> _Hot | None:
+    """Find the groups beyond ``window_rows`` rows; none is the usual answer.
+
+    Runs a job. What it brings to the driver is limited to the number of groups
+    that may be broadcast; if there are more, they stay a distributed frame.
+    """
     sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *stats)
-    hot = sizes.where(F.col("_n") > window_rows)
-    names = [c for c in hot.columns if c not in group and c != "_n"]
-    marked = _join_hot(items, hot, group, spread, "left")
-    small = marked.where(F.col("_n").isNull()).drop("_n", *names)
-    return small, marked.where(F.col("_n").isNotNull()), hot
+    large = sizes.where(F.col("_n") > window_rows)
+    found = large.limit(BROADCAST_GROUPS + 1).collect()
+    if not found:
+        return None
+    if len(found) > BROADCAST_GROUPS:
+        return _Hot(large, group, spread, False)
+    rows = items.sparkSession.createDataFrame([tuple(r) for r in found], large.schema)
+    return _Hot(rows, group, spread, True)
+
+
+def _share(weight: Column, total: Column, n: Column) -> Column:
+    return F.when(total > 0, weight / total).otherwise(F.lit(1.0) / n)
 
 
 def normalised_weights(
@@ -54,19 +76,51 @@ def normalised_weights(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``share``: boosted weight over the group's sum, equal if that is not positive."""
-    boosted = F.col(weight).cast("double")
-    if boost is not None:
-        boosted = boosted * F.coalesce(boost, F.lit(1.0))
-    rows = items.withColumn("_w", boosted)
-    small, large, _ = _split(rows, group, position, [F.sum("_w").alias("_sum")], window_rows)
+    rows = items.withColumn("_w", _boosted(weight, boost))
+    hot = _large_groups(rows, group, position, window_rows, [F.sum("_w").alias("_sum")])
+    return _with_shares(rows, hot, group).drop("_w")
+
 
-    def share(total, n):
-        return F.when(total > 0, F.col("_w") / total).otherwise(F.lit(1.0) / n)
+def _boosted(weight: str, boost: Column | None) -> Column:
+    base = F.col(weight).cast("double")
+    return base if boost is None else base * F.coalesce(boost, F.lit(1.0))
 
+
+def _with_shares(rows: DataFrame, hot: _Hot | None, group: Sequence[str]) -> DataFrame:
     g = Window.partitionBy(*group)
-    small = small.withColumn("share", share(F.sum("_w").over(g), F.count(F.lit(1)).over(g)))
-    large = large.withColumn("share", share(F.col("_sum"), F.col("_n")))
-    return small.drop("_w").unionByName(large.drop("_w", "_sum", "_n"))
+    small = rows if hot is None else hot.join(rows, how="left_anti")
+    small = small.withColumn(
+        "share", _share(F.col("_w"), F.sum("_w").over(g), F.count(F.lit(1)).over(g))
+    )
+    if hot is None:
+        return small
+    large = hot.join(rows).withColumn(
+        "share", _share(F.col("_w"), F.col("_sum"), F.col("_n"))
+    )
+    return small.unionByName(large.drop("_sum", "_n"))
+
+
+def _parts(rows: DataFrame, total: str, share: str) -> DataFrame:
+    """Floor and fraction of each item's part of the total."""
+    amount = F.col(total).cast("bigint")
+    raw = F.when(amount > 0, amount * F.col(share)).otherwise(F.lit(0.0))
+    return (
+        rows.withColumn("_raw", raw)
+        .withColumn("_base", F.floor("_raw").cast("bigint"))
+        .withColumn("_frac", F.col("_raw") - F.col("_base"))
+        .withColumn("_total", F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0)))
+        .drop("_raw")
+    )
+
+
+_HELPERS = ["_base", "_frac", "_total"]
+
+
+def _split_small(rows: DataFrame, group: Sequence[str], position: str, out: str) -> DataFrame:
+    ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
+    left = F.col("_total") - F.sum("_base").over(Window.partitionBy(*group))
+    extra = (F.row_number().over(ranked) <= left).cast("bigint")
+    return rows.withColumn(out, F.col("_base") + extra).drop(*_HELPERS)
 
 
 def apportion(
@@ -85,35 +139,46 @@ def apportion(
     the group). A total that is not positive gives zeros. ``total`` is repeated
     on each row of the group.
     """
-    amount = F.col(total).cast("bigint")
-    raw = F.when(amount > 0, amount * F.col(share)).otherwise(F.lit(0.0))
-    rows = (
-        items.withColumn("_raw", raw)
-        .withColumn("_base", F.floor("_raw").cast("bigint"))
-        .withColumn("_frac", F.col("_raw") - F.col("_base"))
-        .withColumn("_total", F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0)))
-        .drop("_raw")
-    )
-    cuts = F.percentile_approx(
-        "_frac", F.lit([i / _CUTS for i in range(1, _CUTS)]), F.lit(50 * _CUTS)
+    hot = _large_groups(items, group, position, window_rows, [])
+    if hot is None:
+        return _split_small(_parts(items, total, share), group, position, out)
+    small = _parts(hot.join(items, how="left_anti"), total, share)
+    large = _parts(hot.join(items).drop("_n"), total, share)
+    return _split_small(small, group, position, out).unionByName(
+        _split_large(large, hot, group, position, out, window_rows)
     )
-    stats = [
-        (F.max("_total") - F.sum("_base")).alias("_left"),
-        cuts.alias("_cuts"),
-    ]
-    small, large, hot = _split(rows, group, position, stats, window_rows)
 
-    ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
-    left = F.col("_total") - F.sum("_base").over(Window.partitionBy(*group))
-    small = small.withColumn(
-        out, F.col("_base") + (F.row_number().over(ranked) <= left).cast("bigint")
+
+def apportion_by_weight(
+    items: DataFrame,
+    group: Sequence[str],
+    total: str,
+    weight: str,
+    position: str,
+    boost: Column | None = None,
+    out: str = "allotted",
+    window_rows: int = WINDOW_ROWS,
+) -> DataFrame:
+    """:func:`normalised_weights` and :func:`apportion` in one go.
+
+    Ordinary groups then need a single shuffle for both steps.
+    """
+    rows = items.withColumn("_w", _boosted(weight, boost))
+    hot = _large_groups(rows, group, position, window_rows, [F.sum("_w").alias("_sum")])
+    if hot is None:
+        shares = _with_shares(rows, None, group).drop("_w")
+        return _split_small(_parts(shares, total, "share"), group, position, out)
+    small = _with_shares(hot.join(rows, how="left_anti"), None, group).drop("_w")
+    share = _share(F.col("_w"), F.col("_sum"), F.col("_n"))
+    large = hot.join(rows).withColumn("share", share).drop("_w", "_sum", "_n")
+    return _split_small(_parts(small, total, "share"), group, position, out).unionByName(
+        _split_large(_parts(large, total, "share"), hot, group, position, out, window_rows)
     )
-    large = _apportion_large(large, hot, group, position, out, window_rows)
-    helpers = ["_base", "_frac", "_total"]
-    return small.drop(*helpers).unionByName(large.drop(*helpers))
 
 
-def _apportion_large(rows, hot, group, position, out, window_rows):
+def _split_large(
+    rows: DataFrame, hot: _Hot, group: Sequence[str], position: str, out: str, window_rows: int
+) -> DataFrame:
     """The same rule for large groups, without ordering a whole group in one task.
 
     Rows are put into cells that are ordered by rank: between quantiles of the
@@ -121,11 +186,16 @@ def _apportion_large(rows, hot, group, position, out, window_rows):
     Cell counts show in which cell the remainder runs out. Cells before it get
     one each, and only that cell is ranked row by row.
     """
+    quantiles = F.lit([i / _CUTS for i in range(1, _CUTS)])
+    stats = rows.groupBy(*group).agg(
+        (F.max("_total") - F.sum("_base")).alias("_left"),
+        F.percentile_approx("_frac", quantiles, F.lit(50 * _CUTS)).alias("_cuts"),
+    )
     above = F.size(F.filter("_cuts", lambda c: c > F.col("_frac")))
     tied = F.array_contains("_cuts", F.col("_frac"))
     span = F.when(tied, F.floor(F.col(position) / window_rows)).otherwise(F.lit(0)).cast("bigint")
     cell = F.struct(above.alias("a"), tied.alias("t"), span.alias("p"))
-    rows = rows.withColumn("_cell", cell).drop("_cuts", "_n")
+    rows = hot.join(rows, stats).withColumn("_cell", cell).drop("_cuts")
 
     # Few rows per group from here: cells of a group, then one row per group.
     so_far = (
@@ -144,18 +214,16 @@ def _apportion_large(rows, hot, group, position, out, window_rows):
             *group, F.col("_last._cell").alias("_edge"), F.col("_last._before").alias("_before")
         )
     )
-    placed = _join_hot(rows, last, group, position, "left")
-    on_edge = F.col("_cell") == F.col("_edge")
+    placed = hot.join(rows, last, "left")
+    on_edge = F.coalesce(F.col("_cell") == F.col("_edge"), F.lit(False))
     sure = F.coalesce(F.col("_cell") < F.col("_edge"), F.lit(False))
-    settled = placed.where(~F.coalesce(on_edge, F.lit(False))).withColumn(
-        out, F.col("_base") + sure.cast("bigint")
-    )
+    settled = placed.where(~on_edge).withColumn(out, F.col("_base") + sure.cast("bigint"))
     ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
     place = F.col("_before") + F.row_number().over(ranked)
     edge = placed.where(on_edge).withColumn(
         out, F.col("_base") + (place <= F.col("_left")).cast("bigint")
     )
-    return settled.unionByName(edge).drop("_cell", "_edge", "_before", "_left")
+    return settled.unionByName(edge).drop("_cell", "_edge", "_before", "_left", *_HELPERS)
 
 
 def feature_of(language: Column, phase: Column) -> Column:

@@ -81,7 +81,7 @@ def day_measures(
     windows = dict(windows or {})
     if not windows:
         days = indexed_days(spine, by)
-        daily = users.groupBy(*by, "day").agg(*[F.sum(c).alias(c) for c in sums])
+        daily = users.groupBy(*by, "day").agg(*_summed(sums))
         return _complete(days, daily, sums, [], by, "day")
 
     used = {p for p, _ in windows.values()}
@@ -89,8 +89,7 @@ def day_measures(
     # Duplicate user-days are folded first (map-side), so a user brings at most
     # one row per report day to the window below.
     folded = users.groupBy(*by, "day", user).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in sums],
-        *[F.bool_or(c).alias(n) for n, c in predicates.items()],
+        *_summed(sums), *[F.bool_or(c).alias(n) for n, c in predicates.items()]
     )
     days, rows = _on_spine(folded, spine, by)
     longest = {p: max(n for q, n in windows.values() if q == p) for p in predicates}
@@ -108,43 +107,46 @@ def day_measures(
             f"_next_{name}", F.when(F.col(name), F.least(F.coalesce(upcoming, cap), cap))
         )
     cells = rows.groupBy(*by, "idx", *[f"_next_{n}" for n in predicates]).agg(
-        *[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("_users")
+        *_summed(sums), F.expr("count(1) as _users")
     )
 
-    def change(idx: Column, sign: int, only: str | None) -> Column:
-        fields = [idx.alias("idx")]
-        for c in sums:
-            fields.append((F.col(c) if sign > 0 else F.lit(0).cast("bigint")).alias(c))
-        for measure, (pred, _) in windows.items():
-            counts = F.when(F.col(f"_next_{pred}").isNotNull(), F.col("_users")).otherwise(F.lit(0))
-            here = only is None or only == measure
-            fields.append((counts * sign if here else F.lit(0)).cast("bigint").alias(measure))
-        return F.struct(*fields)
-
-    changes = [change(F.col("idx"), 1, None)]
-    for measure, (pred, n) in windows.items():
-        ends = F.least(F.col("idx") + n, F.col(f"_next_{pred}"))
-        changes.append(change(ends, -1, measure))
+    # Each cell becomes a few changes: its sums and arrivals on its own day, and
+    # per measure the departures on the day its users stop counting.
+    def change(idx, carries_sums, counts):
+        fields = [f"'idx', {idx}"]
+        fields += [f"'{c}', {c if carries_sums else 'cast(0 as bigint)'}" for c in sums]
+        fields += [f"'{m}', {counts.get(m, 'cast(0 as bigint)')}" for m in windows]
+        return f"named_struct({', '.join(fields)})"
+
+    arrivals = {
+        m: f"if(_next_{p} is null, cast(0 as bigint), _users)" for m, (p, _) in windows.items()
+    }
+    changes = [change("idx", True, arrivals)] + [
+        change(f"least(idx + {n}, _next_{p})", False, {m: f"-({arrivals[m]})"})
+        for m, (p, n) in windows.items()
+    ]
     daily = (
-        cells.select(*by, F.explode(F.array(*changes)).alias("c"))
+        cells.select(*by, F.expr(f"explode(array({', '.join(changes)})) as c"))
         .select(*by, "c.*")
         .groupBy(*by, "idx")
-        .agg(*[F.sum(c).alias(c) for c in [*sums, *windows]])
+        .agg(*_summed([*sums, *windows]))
     )
     return _complete(days, daily, sums, list(windows), by, "idx")
 
 
+def _summed(columns: Sequence[str]) -> list[Column]:
+    return [F.expr(f"cast(coalesce(sum({c}), 0) as bigint) as {c}") for c in columns]
+
+
 def _complete(days, daily, sums, running, by, key) -> DataFrame:
     """Join the small per-day frame to the spine and run the counters over it."""
-    so_far = (
-        Window.partitionBy(*by).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    over = f"({'partition by ' + ', '.join(by) if by else ''} order by idx rows unbounded preceding)"
     full = days.join(daily, [*by, key], "left")
-    return full.select(
+    return full.selectExpr(
         *by,
         "day",
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in sums],
-        *[F.sum(F.coalesce(c, F.lit(0))).over(so_far).cast("bigint").alias(c) for c in running],
+        *[f"coalesce({c}, 0) as {c}" for c in sums],
+        *[f"cast(sum(coalesce({c}, 0)) over {over} as bigint) as {c}" for c in running],
     )
 
 
@@ -196,7 +198,7 @@ def org_daily(users: DataFrame, spine: DataFrame, by: Sequence[str] = ()) -> Dat
 def org_language_entries(entries: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """User-level breakdown entries summed per (day, language, feature)."""
     return entries.groupBy(*by, "day", "language", "feature").agg(
-        *[F.sum(m).alias(m) for m in LANGUAGE_METRICS]
+        *_summed(LANGUAGE_METRICS)
     )
 
 

@@ -12,7 +12,7 @@ from ..fields import (
     BREAKDOWN, DEFAULT_FEATURE, FLAGS, LANGUAGE_METRICS, METRICS, ORG_METRICS,
     PROMPTS, UNKNOWN_LANGUAGE, VIEW_SCHEMAS,
 )
-from ..functions.scalars import is_true, whole
+from ..functions.scalars import whole
 
 _SQL_TYPE = {bool: "boolean", int: "bigint", float: "double", str: "string"}
 
@@ -54,7 +54,8 @@ def sort_view(df: DataFrame, view: str, by: Sequence[str] = ()) -> DataFrame:
 
 def _typed(df: DataFrame, view: str, by: Sequence[str]) -> DataFrame:
     fields = VIEW_SCHEMAS[view].fields
-    return df.select(*by, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    casts = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in fields]
+    return df.selectExpr(*by, *casts)
 
 
 def daily_summary(org: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -79,10 +80,10 @@ def user_totals():
     All-null sums read as zero and all-null flags as false.
     """
     return [
-        F.count(F.lit(1)).alias("active_days"),
-        *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in METRICS[1:]],
-        *[F.sum(is_true(f).cast("bigint")).alias(f"{f}_days") for f in FLAGS],
-        *[F.bool_or(is_true(f)).alias(f) for f in FLAGS],
+        F.expr("count(1) as active_days"),
+        *[F.expr(f"cast(coalesce(sum({m}), 0) as bigint) as {m}") for m in METRICS[1:]],
+        *[F.expr(f"count_if({f}) as {f}_days") for f in FLAGS],
+        *[F.expr(f"bool_or(coalesce({f}, false)) as {f}") for f in FLAGS],
     ]
 
 
@@ -149,7 +150,7 @@ def language_summary(org: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def language_totals(entries: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sum flattened entries per (day, language) and score them."""
-    score = sum((F.col(m) for m in LANGUAGE_METRICS[1:]), F.col(LANGUAGE_METRICS[0]))
+    score = F.expr(" + ".join(LANGUAGE_METRICS))
     return (
         entries.groupBy(*by, "day", "language")
         .agg(*[F.sum(m).alias(m) for m in LANGUAGE_METRICS])

@@ -30,68 +30,62 @@ FEATURE_OF_EVENT = {
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    date = F.col("ts").cast("date")
-    return raw.select(
-        date.alias("date"),
-        date.cast("string").alias("day"),
-        F.hour("ts").alias("hour"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_login"),
-        "user_id",
+    return raw.selectExpr(
+        "cast(ts as date) as date",
+        "cast(cast(ts as date) as string) as day",
+        "hour(ts) as hour",
+        "concat('u', cast(user_id as string)) as user_login",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        "cast(get_json_object(props, '$.k') as bigint) as k",
     )
 
 
-def _count_if(condition):
-    return F.count(F.when(condition, F.lit(1)))
+_GENERATED = "coalesce(sum(k) filter (where event_type = 'click'), 0)"
+_ACCEPTED = "coalesce(sum((k * (k % 10)) div 10) filter (where event_type = 'click'), 0)"
 
 
-def _sum_if(condition, value):
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
-
-
-def _accepted(k):
-    return F.expr("(k * (k % 10)) div 10")
+def _aggregates(rules: dict[str, str]):
+    return [F.expr(f"{rule} as {name}") for name, rule in rules.items()]
 
 
 def user_days(ev: DataFrame) -> DataFrame:
     """One report row per (day, user), without the breakdown."""
-    kind, k = F.col("event_type"), F.col("k")
-    view, click = kind == "view", kind == "click"
-    return ev.groupBy("day", "user_login").agg(
-        F.lit(1).cast("bigint").alias(ACTIVE_USERS),
-        _count_if(view).alias(PROMPTS),
-        _sum_if(click, k).alias(GENERATED),
-        _sum_if(click, _accepted(k)).alias(ACCEPTED),
-        *[
-            _count_if(view & (k % 4 == i)).alias(m)
-            for i, m in enumerate([AGENT_MODE, ASK_MODE, EDIT_MODE, CUSTOM_MODE])
-        ],
-        _sum_if(click & (k % 5 == 0), k).alias(AGENT_EDIT),
-        F.coalesce(F.bool_or((kind == "signup") & (k < 10)), F.lit(False)).alias(FLAG_AGENT),
-        F.coalesce(F.bool_or((kind == "error") & (k < 20)), F.lit(False)).alias(FLAG_ACTIVE),
-        F.coalesce(F.bool_or((kind == "error") & (k < 60)), F.lit(False)).alias(FLAG_PASSIVE),
-    )
+    rules = {
+        ACTIVE_USERS: "cast(1 as bigint)",
+        PROMPTS: "count_if(event_type = 'view')",
+        GENERATED: _GENERATED,
+        ACCEPTED: _ACCEPTED,
+        AGENT_MODE: "count_if(event_type = 'view' and k % 4 = 0)",
+        ASK_MODE: "count_if(event_type = 'view' and k % 4 = 1)",
+        EDIT_MODE: "count_if(event_type = 'view' and k % 4 = 2)",
+        CUSTOM_MODE: "count_if(event_type = 'view' and k % 4 = 3)",
+        AGENT_EDIT: "coalesce(sum(k) filter (where event_type = 'click' and k % 5 = 0), 0)",
+        FLAG_AGENT: "coalesce(bool_or(event_type = 'signup' and k < 10), false)",
+        FLAG_ACTIVE: "coalesce(bool_or(event_type = 'error' and k < 20), false)",
+        FLAG_PASSIVE: "coalesce(bool_or(event_type = 'error' and k < 60), false)",
+    }
+    return ev.groupBy("day", "user_login").agg(*_aggregates(rules))
 
 
 def user_entries(ev: DataFrame, keys=("day", "user_login")) -> DataFrame:
     """Breakdown entries summed per key, language and feature."""
-    kind, k = F.col("event_type"), F.col("k")
-    click = kind == "click"
-    language = F.element_at(F.array(*[F.lit(n) for n in LANGUAGES]), (k % 12 + 1).cast("int"))
-    feature = F.lit(None).cast("string")
-    for event, name in FEATURE_OF_EVENT.items():
-        feature = F.when(kind == event, F.lit(name)).otherwise(feature)
+    names = ", ".join(f"'{n}'" for n in LANGUAGES)
+    kinds = ", ".join(f"'{e}'" for e in FEATURE_OF_EVENT)
+    feature = " ".join(f"when '{e}' then '{f}'" for e, f in FEATURE_OF_EVENT.items())
+    rules = {
+        PROMPTS: "count_if(event_type <> 'click')",
+        GENERATED: _GENERATED,
+        ACCEPTED: _ACCEPTED,
+    }
     return (
-        ev.where(kind.isin(*FEATURE_OF_EVENT))
-        .withColumn("language", language)
-        .withColumn("feature", feature)
-        .groupBy(*keys, "language", "feature")
-        .agg(
-            _count_if(~click).alias(PROMPTS),
-            _sum_if(click, k).alias(GENERATED),
-            _sum_if(click, _accepted(k)).alias(ACCEPTED),
+        ev.where(f"event_type in ({kinds})")
+        .selectExpr(
+            *keys, "event_type", "k",
+            f"element_at(array({names}), cast(k % 12 + 1 as int)) as language",
+            f"case event_type {feature} end as feature",
         )
+        .groupBy(*keys, "language", "feature")
+        .agg(*_aggregates(rules))
     )
 
 

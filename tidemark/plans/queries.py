@@ -343,22 +343,19 @@ def normalised_weights(spark, sf):
 
 @query
 def apportion(spark, sf):
-    shares = allocate.normalised_weights(
-        _order_items(spark, sf), ["l_orderkey"], "weight", "l_partkey"
+    return allocate.apportion_by_weight(
+        _order_items(spark, sf), ["l_orderkey"], "total", "weight", "l_partkey"
     )
-    return allocate.apportion(shares, ["l_orderkey"], "total", "share", "l_partkey")
 
 
 @query
 def apportion_large_groups(spark, sf):
+    """Three groups with a third of the parts each, far beyond the window size."""
     items = spark.read.parquet(f"{sf}/lineitem.parquet")
     parts = items.groupBy("l_returnflag", "l_partkey").agg(F.sum("l_quantity").alias("weight"))
     parts = parts.withColumn("total", F.lit(1_000_003).cast("bigint"))
-    shares = allocate.normalised_weights(
-        parts, ["l_returnflag"], "weight", "l_partkey", window_rows=1000
-    )
-    return allocate.apportion(
-        shares, ["l_returnflag"], "total", "share", "l_partkey", window_rows=1000
+    return allocate.apportion_by_weight(
+        parts, ["l_returnflag"], "total", "weight", "l_partkey", window_rows=1000
     )
 
 
