@@ -18,10 +18,10 @@ def user_days(spark, *data):
 def people(spark):
     return user_days(
         spark,
-        ("1", "zoe", 1, False, True, True), ("2", "zoe", 1, False, False, True),
-        ("1", "amy", 9, True, False, True), ("2", "amy", None, None, True, True),
-        ("2", "bob", 50, False, None, None), ("3", "bob", 1, False, False, False),
-        ("2", "eve", 51, False, False, False), ("3", "eve", 0, False, False, False),
+        ("2025-01-01", "zoe", 1, False, True, True), ("2025-01-02", "zoe", 1, False, False, True),
+        ("2025-01-01", "amy", 9, True, False, True), ("2025-01-02", "amy", None, None, True, True),
+        ("2025-01-02", "bob", 50, False, None, None), ("2025-01-03", "bob", 1, False, False, False),
+        ("2025-01-02", "eve", 51, False, False, False), ("2025-01-03", "eve", 0, False, False, False),
     )
 
 
@@ -35,7 +35,7 @@ def test_user_order_and_ties(people):
 
 
 def test_earlier_user_wins_a_tie(spark):
-    df = user_days(spark, ("2", "a", 1, False, False, False), ("1", "b", 1, False, False, False))
+    df = user_days(spark, ("2025-01-02", "a", 1, False, False, False), ("2025-01-01", "b", 1, False, False, False))
     out = users.sort_users(users.window_user_summary(df)).collect()
     assert [r.user_login for r in out] == ["b", "a"]
 
@@ -182,7 +182,7 @@ def test_members(spark, rows, people):
     known = spark.createDataFrame([("amy",), ("tom",)], "user_login string")
     assert rows(quality.missing_members(known, people)) == [("tom",)]
     assert quality.duplicate_user_days(people).count() == 0
-    assert rows(quality.duplicate_user_days(people.union(people.where("day = '1'"))), "user_login", "rows") == [
+    assert rows(quality.duplicate_user_days(people.union(people.where("day = '2025-01-01'"))), "user_login", "rows") == [
         ("amy", 2), ("zoe", 2),
     ]
 

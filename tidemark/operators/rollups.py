@@ -72,11 +72,13 @@ def day_measures(
     windows: Mapping[str, tuple[str, int]] | None = None,
     by: Sequence[str] = (),
     user: str = "user_login",
+    unique: bool = False,
 ) -> DataFrame:
     """Per spine day: sums of user-day columns and rolling distinct users.
 
     Everything comes from one pass over the user-days. Days without users are
-    kept with zero sums, and still take up a place in the rolling windows.
+    kept with zero sums, and still take up a place in the rolling windows. Say
+    ``unique`` if no user-day occurs twice, which saves a shuffle.
     """
     windows = dict(windows or {})
     if not windows:
@@ -86,11 +88,14 @@ def day_measures(
 
     used = {p for p, _ in windows.values()}
     predicates = {n: c for n, c in (predicates or {}).items() if n in used}
-    # Duplicate user-days are folded first (map-side), so a user brings at most
-    # one row per report day to the window below.
-    folded = users.groupBy(*by, "day", user).agg(
-        *_summed(sums), *[F.bool_or(c).alias(n) for n, c in predicates.items()]
-    )
+    if unique:
+        folded = users.select(*by, "day", user, *sums, *[c.alias(n) for n, c in predicates.items()])
+    else:
+        # Duplicate user-days are folded first (map-side), so a user brings at most
+        # one row per report day to the window below.
+        folded = users.groupBy(*by, "day", user).agg(
+            *_summed(sums), *[F.bool_or(c).alias(n) for n, c in predicates.items()]
+        )
     days, rows = _on_spine(folded, spine, by)
     longest = {p: max(n for q, n in windows.values() if q == p) for p in predicates}
     later = (
@@ -100,12 +105,16 @@ def day_measures(
     )
     # Index at which a later qualifying day takes over; capped, since beyond the
     # longest window all values act alike.
-    for name in predicates:
-        upcoming = F.min(F.when(F.col(name), F.col("idx"))).over(later)
-        cap = F.col("idx") + longest[name]
-        rows = rows.withColumn(
-            f"_next_{name}", F.when(F.col(name), F.least(F.coalesce(upcoming, cap), cap))
-        )
+    upcoming = {
+        f"_next_{p}": F.min(F.when(F.col(p), F.col("idx"))).over(later) for p in predicates
+    }
+    caps = {p: f"idx + {longest[p]}" for p in predicates}
+    rows = rows.withColumns(upcoming).withColumns(
+        {
+            f"_next_{p}": F.expr(f"if({p}, least(coalesce(_next_{p}, {cap}), {cap}), null)")
+            for p, cap in caps.items()
+        }
+    )
     cells = rows.groupBy(*by, "idx", *[f"_next_{n}" for n in predicates]).agg(
         *_summed(sums), F.expr("count(1) as _users")
     )
@@ -162,36 +171,43 @@ def rolling_distinct(
     windows: Mapping[str, int],
     by: Sequence[str] = (),
     user: str = "user_login",
+    unique: bool = False,
 ) -> DataFrame:
     """Distinct qualifying users over the trailing N report days, per name in ``windows``."""
     return day_measures(
         users, spine,
         predicates={"_p": predicate},
         windows={name: ("_p", n) for name, n in windows.items()},
-        by=by, user=user,
+        by=by, user=user, unique=unique,
     )
 
 
-def rolling_agent_users(users: DataFrame, spine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def rolling_agent_users(
+    users: DataFrame, spine: DataFrame, by: Sequence[str] = (), **options
+) -> DataFrame:
     """Coding-agent users of the last 1, 7 and 28 report days."""
     return rolling_distinct(
         users, spine, agent_predicates()[USES_AGENT],
-        {AGENT_1D: 1, AGENT_7D: 7, AGENT_28D: 28}, by,
+        {AGENT_1D: 1, AGENT_7D: 7, AGENT_28D: 28}, by, **options,
     )
 
 
 def monthly_agent_users(
-    users: DataFrame, spine: DataFrame, days: int = 28, by: Sequence[str] = ()
+    users: DataFrame, spine: DataFrame, days: int = 28, by: Sequence[str] = (), **options
 ) -> DataFrame:
     """Users of any agent feature over the last ``days`` report days."""
-    return rolling_distinct(users, spine, agent_predicates()[ANY_AGENT], {MONTHLY_AGENT: days}, by)
+    return rolling_distinct(
+        users, spine, agent_predicates()[ANY_AGENT], {MONTHLY_AGENT: days}, by, **options
+    )
 
 
-def org_daily(users: DataFrame, spine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def org_daily(
+    users: DataFrame, spine: DataFrame, by: Sequence[str] = (), **options
+) -> DataFrame:
     """Complete organization-day rows (without breakdown), in one pass."""
     return day_measures(
         users, spine, sums=METRICS,
-        predicates=agent_predicates(), windows=AGENT_WINDOWS, by=by,
+        predicates=agent_predicates(), windows=AGENT_WINDOWS, by=by, **options,
     )
 
 

@@ -24,10 +24,11 @@ def window_user_summary(user_daily: DataFrame, by: Sequence[str] = ()) -> DataFr
     """Totals per user over the given user-days.
 
     ``first_day`` settles ties in the rankings: users who appear earlier come first.
+    It is compared as a date, which keeps the aggregation hash-based (text would
+    make Spark sort all user-days by user).
     """
-    return user_daily.groupBy(*by, "user_login").agg(
-        *user_totals(), F.min("day").alias("first_day")
-    )
+    first = F.expr("cast(min(cast(day as date)) as string) as first_day")
+    return user_daily.groupBy(*by, "user_login").agg(*user_totals(), first)
 
 
 def _standing() -> list[Column]:

@@ -94,14 +94,14 @@ def language_summary(spark, sf):
 @query
 def language_flatten(spark, sf):
     keys = ["day", "user_login"]
-    nested = rollups.nest_breakdown(model.user_entries(model.events(spark, sf)), keys)
+    nested = model.user_breakdowns(model.events(spark, sf))
     return views.language_entries(nested, keys)
 
 
 @query
 def org_language_rollup(spark, sf):
     keys = ["day", "user_login"]
-    nested = rollups.nest_breakdown(model.user_entries(model.events(spark, sf)), keys)
+    nested = model.user_breakdowns(model.events(spark, sf))
     org = rollups.nest_breakdown(
         rollups.org_language_entries(views.language_entries(nested, keys))
     )
@@ -128,19 +128,21 @@ def org_rollup(spark, sf):
 @query
 def rolling_agent_users(spark, sf):
     ev = model.events(spark, sf)
-    return rollups.rolling_agent_users(model.user_days(ev), model.event_days(ev))
+    return rollups.rolling_agent_users(model.user_days(ev), model.event_days(ev), unique=True)
 
 
 @query
 def monthly_agent_users(spark, sf):
     ev = model.events(spark, sf)
-    return rollups.monthly_agent_users(model.user_days(ev), model.event_days(ev))
+    return rollups.monthly_agent_users(model.user_days(ev), model.event_days(ev), unique=True)
 
 
 @query
 def weekly_any_agent_users(spark, sf):
     ev = model.events(spark, sf)
-    return rollups.monthly_agent_users(model.user_days(ev), model.event_days(ev), days=7)
+    return rollups.monthly_agent_users(
+        model.user_days(ev), model.event_days(ev), days=7, unique=True
+    )
 
 
 @query
@@ -427,7 +429,10 @@ def missing_members(spark, sf):
 def duplicate_user_days(spark, sf):
     """User-days that would be doubled if every event were taken as a report row."""
     ev = model.events(spark, sf)
-    return quality.duplicate_user_days(ev)
+    rows = ev.selectExpr(
+        "cast(date as string) as day", "concat('u', cast(user_id as string)) as user_login"
+    )
+    return quality.duplicate_user_days(rows)
 
 
 @query
@@ -545,7 +550,7 @@ def _refreshed(spark, sf):
     ev = model.events(spark, sf)
     streaming.land(model.user_reports(ev.where("hour < 20")), landing, "user_metrics", "0001")
     streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
-    restated = model.user_reports(ev.where("day >= '2024-01-21'"))
+    restated = model.user_reports(ev.where("date >= '2024-01-21'"))
     streaming.land(restated, landing, "user_metrics", "0002")
     streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
     return out
