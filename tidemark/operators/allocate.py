@@ -17,6 +17,7 @@ from ..fields import (
     AGENT_PHASES, BASELINE_PHASE, CHAT_LANGUAGES, DEFAULT_FEATURE, INFRA_LANGUAGES, PHASE_BANDS,
 )
 from ..functions.scalars import active_review_signal, agent_signal, passive_review_signal
+from ..sources.scratch import stored
 
 WINDOW_ROWS = 100_000
 # Up to so many large groups their totals are broadcast; beyond, rows are salted.
@@ -185,7 +186,11 @@ def _split_large(
     fraction, and where many rows tie on one fraction, by ranges of the position.
     Cell counts show in which cell the remainder runs out. Cells before it get
     one each, and only that cell is ranked row by row.
+
+    The rows are read four times, so they are written to the shared folder once
+    instead of being derived again each time.
     """
+    rows = stored(rows, "apportion")
     quantiles = F.lit([i / _CUTS for i in range(1, _CUTS)])
     stats = rows.groupBy(*group).agg(
         (F.max("_total") - F.sum("_base")).alias("_left"),
