@@ -5,7 +5,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from tidemark.fields import AGENT_EDIT, FLAG_AGENT, PROMPTS
+from tidemark.fields import AGENT_7D, AGENT_EDIT, FLAG_AGENT, PROMPTS
 from tidemark.streaming import refresh
 
 
@@ -104,7 +104,7 @@ def test_rolling_users_are_redone_for_days_in_reach(spark, tmp_path):
     area.refresh()
 
     def counts():
-        return {r.day[-2:]: r.copilot_coding_agent_active_users_7d
+        return {r.day[-2:]: r[AGENT_7D]
                 for r in area.view("org_from_users").collect()}
 
     assert [counts()[f"{d:02d}"] for d in range(1, 11)] == [1] * 7 + [0] * 3

@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.fields import AGENT_EDIT, FLAG_AGENT, PROMPTS
+from tidemark.fields import AGENT_EDIT, FLAG_AGENT, PROMPTS, VIEW_SCHEMAS
 from tidemark.functions.scalars import run_id, utc_text
 from tidemark.operators import views
 from tidemark.plans.ingest import ingest, new_run_id
@@ -79,6 +79,8 @@ def test_json_array_keeps_order(spark):
     assert json.loads(ndjson.json_array(df, ["day"]).first().json) == [
         {"day": "a", "n": 1}, {"day": "b", "n": None},
     ]
+    with pytest.raises(ValueError):
+        ndjson.json_array(df, ["day"], max_rows=1)
 
 
 # --- days
@@ -142,6 +144,9 @@ def test_ledger_states(spark, tmp_path, rows):
     }
     metrics = ledger.run_metrics(ledger.current_runs(log))
     assert rows(metrics, "id", "organization")[0] == ("run:r1", "mock")
+    ledger.write_run_metrics(metrics, str(tmp_path / "metrics"))
+    back = spark.read.parquet(str(tmp_path / "metrics"))
+    assert back.where("organization = 'mock'").count() == 3
 
 
 def test_run_id_text(spark):
@@ -255,3 +260,14 @@ def test_failed_run_is_recorded(spark, tmp_path, rows):
     current = ledger.current_runs(log).first()
     assert current.status == "failed" and current.error
     assert ledger.run_metrics(ledger.current_runs(log)).first().organization == "mock"
+
+
+def test_empty_reports_give_empty_views(spark, tmp_path):
+    empty = lines(tmp_path / "empty.json", [])
+    root = str(tmp_path / "out")
+    run = ingest(spark, empty, empty, root)
+    assert run["status"] == "succeeded"
+    assert set(run["snapshot_records"].values()) == {0}
+    assert set(run["raw_records"].values()) == {0}
+    for name in VIEW_SCHEMAS:
+        assert snapshots.read_view(spark, name, [root], "mock", "reports").count() == 0

@@ -6,8 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import views
 from ..sources import ledger, snapshots
@@ -20,18 +19,9 @@ def new_run_id(started_at: dt.datetime, invocation_id: str | None = None) -> str
     return f"{started_at.astimezone(dt.timezone.utc):%Y%m%dT%H%M%SZ}-{suffix}"
 
 
-class _Counted:
-    """Counts rows as they are written, so that no extra pass is needed."""
-
-    def __init__(self):
-        self._seen: dict[str, Observation] = {}
-
-    def watch(self, name: str, df: DataFrame) -> DataFrame:
-        self._seen[name] = Observation(name)
-        return df.observe(self._seen[name], F.count(F.lit(1)).alias("records"))
-
-    def records(self) -> dict[str, int]:
-        return {n: int(o.get.get("records", 0)) for n, o in self._seen.items()}
+def _records(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows per written copy. Parquet copies are counted from their footers."""
+    return {r.artifact: r.records for r in snapshots.record_counts(frames).collect()}
 
 
 def _second(now: dt.datetime) -> dt.datetime:
@@ -85,18 +75,17 @@ def ingest(
 def _build(spark, org_paths, user_paths, root, owner, source, run_id, fmt, keep_raw) -> dict:
     org_raw = read_ndjson(spark, org_paths)
     user_raw = read_ndjson(spark, user_paths)
-    raw_seen, view_seen = _Counted(), _Counted()
-    raw_places = {}
+    raw, raw_places = {"org_metrics": org_raw, "user_metrics": user_raw}, {}
     if keep_raw:
-        raw = {
-            "org_metrics": raw_seen.watch("org_metrics", org_raw),
-            "user_metrics": raw_seen.watch("user_metrics", user_raw),
-        }
         raw_places = snapshots.publish(raw, root, owner, source, run_id, kind="raw", fmt="json")
+        # one line per row in the written copies
+        raw = {n: spark.read.text(p["history"]) for n, p in raw_places.items()}
 
     def publish(name, df):
-        frames = {name: view_seen.watch(name, df)}
-        return snapshots.publish(frames, root, owner, source, run_id, fmt=fmt)
+        return snapshots.publish({name: df}, root, owner, source, run_id, fmt=fmt)
+
+    def written(name):
+        return snapshots.read_path(spark, name, places[name]["history"], fmt)
 
     places = {
         **publish("daily_summary", views.daily_summary(org_raw)),
@@ -104,14 +93,13 @@ def _build(spark, org_paths, user_paths, root, owner, source, run_id, fmt, keep_
         **publish("user_daily_summary", views.user_daily_summary(user_raw)),
     }
     if {"day", "user_login"} <= set(user_raw.columns):
-        path = places["user_daily_summary"]["history"]
-        totals = views.user_summary(snapshots.read_path(spark, "user_daily_summary", path, fmt))
+        totals = views.user_summary(written("user_daily_summary"))
     else:  # the totals need no day, the user-day view does
         totals = views.user_summary(user_raw)
     places |= publish("user_summary", totals)
     return {
-        "raw_records": raw_seen.records(),
-        "snapshot_records": view_seen.records(),
+        "raw_records": _records(raw),
+        "snapshot_records": _records({name: written(name) for name in places}),
         "raw_places": raw_places,
         "snapshot_places": places,
     }

@@ -75,11 +75,13 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def json_array(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def json_array(df: DataFrame, order: Sequence[str], max_rows: int = 100_000) -> DataFrame:
     """A small frame as one JSON array text, for exports a browser loads whole.
 
-    Only for bounded views: the array is one value in one task.
+    The array is one value in one task, so a frame beyond ``max_rows`` is refused.
     """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows do not fit one JSON array")
     row = F.struct(*df.columns)
     key = F.struct(*order, row.alias("_row"))
     items = F.transform(F.array_sort(F.collect_list(key)), lambda x: x["_row"])

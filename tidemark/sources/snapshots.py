@@ -25,6 +25,10 @@ def latest_path(root: str, kind: str, org: str, source: str, name: str) -> str:
 
 
 def _write(df: DataFrame, path: str, fmt: str, by_day: bool) -> None:
+    if not df.columns:  # an empty report has no fields; its copy is an empty file
+        empty = df.sparkSession.createDataFrame([], "value string")
+        empty.write.mode("overwrite").text(path)
+        return
     by_day = by_day and fmt == "parquet"
     if by_day:
         # Even files per day: big days are split over tasks, small ones share one.
