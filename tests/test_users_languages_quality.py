@@ -78,7 +78,8 @@ def test_coverage(people):
 
 def test_rankings(people, rows):
     summary = users.window_user_summary(people)
-    assert rows(users.review_hotspots(summary), "rank", "user_login", "review_days", "review_share") == [
+    hot = users.review_hotspots(summary)
+    assert rows(hot, "rank", "user_login", "review_days", "review_share") == [
         (1, "amy", 3, 150.0), (2, "zoe", 3, 150.0),
     ]
     top = rows(users.top_reviewers(summary, 3), "rank", "user_login", "passive_share")

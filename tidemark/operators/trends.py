@@ -11,7 +11,6 @@ from ..fields import (
     ACCEPTED, ACTIVE_USERS, AGENT_1D, AGENT_28D, AGENT_7D, AGENT_EDIT, AGENT_MODE, ASK_MODE,
     CUSTOM_MODE, EDIT_MODE, GENERATED, PROMPTS,
 )
-from ..functions.ranking import whole_frame
 from ..functions.scalars import acceptance_rate, chat_requests, has_number, ratio
 
 

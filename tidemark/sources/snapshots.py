@@ -52,8 +52,9 @@ def publish(
 ) -> dict[str, dict[str, str]]:
     """Write each frame to the run's history, then renew the latest copy from it.
 
-    History comes first: a failed run never replaces what readers see, and the
-    latest copy is a copy of files, not a second evaluation of the frame.
+    History comes first: a run that fails before all of it is written leaves the
+    latest copies alone. These are made from the written files, so a frame is
+    evaluated once.
     """
     allowed = RAW_TABLES if kind == "raw" else VIEWS
     written = {}
