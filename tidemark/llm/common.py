@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int =
     """Cuts batches so that one slice holds a few megabytes of `column`, or one row."""
     for batch in batches:
         values = batch.column(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and (held + size > most_bytes or i - start >= most_rows):
