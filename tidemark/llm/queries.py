@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import quality, toxicity
 from tidemark.llm.common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, weights).select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision of the compression-distance classifier for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
