@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality, toxicity
+from tidemark.llm import fingerprint, packing, quality, toxicity
 from tidemark.llm.common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json")).drop("ids")
+
+
+@query
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and likeness to these and the next."""
+    return fingerprint.compared_with_next(table(spark, sf_dir, "documents"))
