@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprint, packing, quality, toxicity
+from tidemark.llm import fingerprint, jaccard_join, packing, quality, toxicity
 from tidemark.llm.common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and likeness to these and the next."""
     return fingerprint.compared_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, group and number of links of every document (5-word n-grams, similarity 0.8)."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return jaccard_join.near_duplicates(docs, "row").select(
+        "doc_id", "class_id", "group_id", "n_copies", "n_links")
