@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprint, jaccard_join, packing, quality, toxicity
+from tidemark.llm import (
+    fingerprint,
+    jaccard_join,
+    packing,
+    quality,
+    suffix_dedup,
+    toxicity,
+)
 from tidemark.llm.common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +66,18 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, group and number of links of every document (5-word n-grams, similarity 0.8)."""
-    docs = table(spark, sf_dir, "documents").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    docs = numbered(table(spark, sf_dir, "documents"))
     return jaccard_join.near_duplicates(docs, "row").select(
         "doc_id", "class_id", "group_id", "n_copies", "n_links")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Documents of a table with the number `row`: of its place in the files, so always the same."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    docs = numbered(table(spark, sf_dir, "documents"))
+    return docs.select("row", "doc_id").join(suffix_dedup.digests(docs, "row"), "row").drop("row")
