@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     fingerprint,
     jaccard_join,
+    line_dedup,
     packing,
     quality,
     suffix_dedup,
@@ -81,3 +82,54 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 200-byte strings."""
     docs = numbered(table(spark, sf_dir, "documents"))
     return docs.select("row", "doc_id").join(suffix_dedup.digests(docs, "row"), "row").drop("row")
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document, the numbers of its lines that stay, and how many go."""
+    docs = numbered(table(spark, sf_dir, "documents"))
+    kept = line_dedup.kept_lines(docs, "row")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    worded = F.size(F.filter(F.split(text, "\n"), line_dedup.has_words)).cast("long")
+    lines = docs.select("row", "doc_id", worded.alias("n_lines"))
+    none = F.array().cast("array<int>")
+    return lines.join(kept, "row", "left").select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.size(F.coalesce("kept", none))).alias(
+            "n_removed"),
+        F.array_join(F.coalesce("kept", none).cast("array<string>"), ",").alias("kept_lines"))
+
+
+ORACLE["op7_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS no
+    FROM documents
+), sets AS (
+    SELECT doc_id, no, row_number() OVER (ORDER BY doc_id, no) AS id,
+           list_sort(list_distinct([w FOR w IN string_split(translate(
+               line, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' ') IF w <> ''])) AS words
+    FROM lines
+), worded AS (SELECT * FROM sets WHERE len(words) > 0
+), classes AS (
+    SELECT min(id) AS id, words, len(words) AS n FROM worded GROUP BY words
+), tokens AS (SELECT id, n, unnest(words) AS word FROM classes
+), gone AS (
+    SELECT DISTINCT id FROM (
+        SELECT b.id AS id
+        FROM tokens a JOIN tokens b
+          ON a.word = b.word AND a.id < b.id
+         AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9
+        GROUP BY a.id, b.id, a.n, b.n
+        HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9)
+), kept AS (
+    SELECT w.doc_id, list(w.no ORDER BY w.no) AS nos
+    FROM classes c JOIN worded w USING (id)
+    WHERE c.id NOT IN (SELECT id FROM gone) GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(l.n, 0) AS n_lines,
+       coalesce(l.n, 0) - coalesce(len(k.nos), 0) AS n_removed,
+       coalesce(array_to_string(k.nos, ','), '') AS kept_lines
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) l ON l.doc_id = d.doc_id
+LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
