@@ -18,12 +18,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,41 +34,78 @@ LENGTH = 1024
 OPEN_WINDOWS = 16
 FAN_IN = 64
 END_ID = 0
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 1_000_000
 
 
-class _PreTokens(dict):
-    """Ids (little-endian, 32 bits) by pre-token; merges never cross pre-tokens."""
+class _Alphabet(dict):
+    """The byte alphabet's form of a character, by code point, for str.translate."""
+
+    def __init__(self, split) -> None:
+        self.split = split
+
+    def __missing__(self, code: int) -> str:
+        self[code] = value = self.split.pre_tokenize_str(chr(code))[0][0]
+        return value
+
+
+class _Units(dict):
+    """Ids (little-endian, 32 bits) of a space and the characters up to the next space.
+
+    In byte-level BPE a single space begins a pre-token, so such units are encoded alone. Where
+    spaces follow one another they share a pre-token, so those texts are encoded whole.
+    """
 
     def __init__(self, path: str) -> None:
-        import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def __missing__(self, token: str) -> bytes:
+        self.split, self.model = self.tokenizer.pre_tokenizer, self.tokenizer.model
+        self.alphabet = _Alphabet(self.split)
+        self.whole = ["  ", *(t.content for t in
+                              self.tokenizer.get_added_tokens_decoder().values())]
+        self.line_end = self.ids("\n")
+
+    def ids(self, text: str, pre_token: bool = False) -> bytes:
+        """`pre_token`: the text is known to be one."""
+        parts = [text.translate(self.alphabet)] if pre_token else [
+            part for part, _ in self.split.pre_tokenize_str(text)]
+        found = [t.id for part in parts for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def word(self, space: str, word: str) -> bytes:
+        if word.isalpha():  # letters, with a space before them or not, are one pre-token
+            return self.ids(space + word, True)
+        if word[:-1].isalpha() and word[-1] in ".,!?;:":  # and a mark after them another
+            before = self[word[:-1]] if space else self.ids(word[:-1], True)
+            return before + self.ids(word[-1], True)
+        a, line_end, b = word.partition("\n")
+        if line_end and a and b and "\n" not in b and not (
+                a[-1].isspace() or b[0].isspace()):
+            return (self[a] if space else self.word("", a)) + self.line_end + self.word("", b)
+        return self.ids(space + word)
+
+    def __missing__(self, unit: str) -> bytes:
         if len(self) >= _CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(token, add_special_tokens=False).ids
-        self[token] = value = np.array(ids, "<u4").tobytes()
+        value = self.word(" ", unit)
+        self[unit] = value
         return value
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as the tokenizer gives them without added special tokens."""
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.whole):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, self.split(text)))
+        first, *rest = text.split(" ")
+        return self.word("", first) + b"".join(map(self.__getitem__, rest))
 
 
-_ENCODERS: dict[str, _PreTokens] = {}
+_ENCODERS: dict[str, _Units] = {}
 
 
-def encoder(path: str) -> _PreTokens:
+def encoder(path: str) -> _Units:
     if path not in _ENCODERS:
-        _ENCODERS[path] = _PreTokens(path)
+        _ENCODERS[path] = _Units(path)
     return _ENCODERS[path]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     fingerprint,
+    html_text,
     jaccard_join,
     line_dedup,
     packing,
@@ -133,3 +134,10 @@ FROM documents d
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) l ON l.doc_id = d.doc_id
 LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+
+@query
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit(pages))
