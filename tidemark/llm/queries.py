@@ -13,6 +13,7 @@ from tidemark.llm import (
     jaccard_join,
     line_dedup,
     packing,
+    pieces,
     quality,
     suffix_dedup,
     toxicity,
@@ -141,3 +142,13 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages, html_text.fit(pages))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document: score, length and checksum of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    found = pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"), "round_trip")
