@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,3 +100,26 @@ def with_columns(df: DataFrame, added: str, text_col: str,
             yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *names])
 
     return plain.mapInArrow(run, schema)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal keys of a sorted stream."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            key = tuple(c[a] for c in columns)
+            if key != current and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

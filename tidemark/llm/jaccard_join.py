@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices, stored
+from tidemark.llm.common import in_slices, runs, stored
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -124,29 +124,6 @@ def passing(one: np.ndarray, many: np.ndarray, rules: list[tuple[int, int]]) ->
     return left
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal keys of a sorted stream."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(starts, starts[1:]):
-            key = tuple(c[a] for c in columns)
-            if key != current and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            current = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _in_blocks(members: DataFrame, key: str, size: str, node: str, block: int) -> DataFrame:
     """A row for each block pair of a member's group: bi <= bj, and `own` (its own block)."""
     blocks = F.ceil(F.col(size) / block).cast("int")
@@ -205,7 +182,7 @@ def candidates(nodes: DataFrame, threshold: float, tolerance: float) -> DataFram
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u: list[int] = []
         v: list[int] = []
-        for cell in _runs(batches, ["bucket", "bi", "bj"]):
+        for cell in runs(batches, ["bucket", "bi", "bj"]):
             if cell.num_rows > 1:
                 node = cell.column("node").to_numpy()
                 sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint8)
@@ -262,7 +239,7 @@ def verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, row_col: str,
     cells = _in_blocks(texts.join(members, "row").drop("row"), "grp", "n", "node", GROUP_BLOCK)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _runs(batches, ["grp", "bi", "bj"]):
+        for cell in runs(batches, ["grp", "bi", "bj"]):
             own = cell.column("own").to_numpy()
             order = np.argsort(own, kind="stable")
             cell, own = cell.take(pa.array(order)), own[order]

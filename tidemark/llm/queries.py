@@ -15,6 +15,7 @@ from tidemark.llm import (
     packing,
     pieces,
     quality,
+    rp_forest,
     suffix_dedup,
     toxicity,
 )
@@ -152,3 +153,9 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
         F.crc32("ids").alias("ids_crc32"), "round_trip")
+
+
+@query
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vector whose id is divisible by 100."""
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
