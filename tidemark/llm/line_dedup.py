@@ -167,8 +167,8 @@ def dedup(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str =
           threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with the lines that go cut out of the texts; null text stays null."""
     kept = kept_lines(docs, row_col, id_col, text_col, threshold)
-    kept = kept.select(F.col("row").alias("__row"), F.col("kept").alias("__kept"))
+    kept = kept.select(F.col("row").alias("__of"), F.col("kept").alias("__kept"))
     left = F.filter(F.split(F.col(f"`{text_col}`"), "\n"), lambda line, i: ~has_words(line)
                     | F.coalesce(F.array_contains(F.col("__kept"), i), F.lit(False)))
-    joined = docs.join(kept, F.col(f"`{row_col}`") == F.col("__row"), "left")
-    return joined.withColumn(text_col, F.array_join(left, "\n")).drop("__row", "__kept")
+    joined = docs.join(kept, F.col(f"`{row_col}`") == F.col("__of"), "left")
+    return joined.withColumn(text_col, F.array_join(left, "\n")).drop("__of", "__kept")

@@ -158,12 +158,13 @@ def score_texts(weights: np.ndarray, texts: list[str | None]) -> np.ndarray:
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of `docs` with `score` (double) and `predicted` (int), one row for each row."""
+          threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")
+          ) -> DataFrame:
+    """All columns of `docs` with the score (double) and the decision (int), a row for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
         p = score_texts(shared.value, texts)
         return [pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
 
-    return with_columns(docs, "score double, predicted int", text_col, compute)
+    return with_columns(docs, "{} double, {} int".format(*names), text_col, compute)

@@ -318,3 +318,33 @@ def cut(text: bytes, spans: list[dict] | None) -> bytes:
         kept.append(text[end : s["first"]])
         end = s["last"]
     return b"".join(kept) + text[end:]
+
+
+def removed_text(docs: DataFrame, row_col: str, text_col: str = "text",
+                 length: int = LENGTH) -> DataFrame:
+    """`docs` without the repeated bytes of their texts; null text stays null.
+
+    Where a span cuts a character's bytes apart, what is left of the character goes too.
+    """
+    found = dedup(docs, row_col, text_col, length).select(
+        F.col("row").alias("__of"), F.col("copies").alias("__copies"),
+        F.col("spans").alias("__spans"))
+    joined = docs.join(found, F.col(f"`{row_col}`") == F.col("__of")).drop("__of")
+    names = [*joined.columns]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_slices(batches, text_col):
+            texts = []
+            for text, copies, spans in zip(part.column(text_col).cast(pa.binary()).to_pylist(),
+                                           part.column("__copies").to_pylist(),
+                                           part.column("__spans").to_pylist()):
+                if text is not None:
+                    gone = copies > 1 and len(text) >= length
+                    text = "" if gone else cut(text, spans).decode("utf-8", "ignore")
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if n == text_col else part.column(n)
+                 for n in names[:-2]], names[:-2])
+
+    return joined.mapInArrow(run, schema)
