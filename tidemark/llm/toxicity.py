@@ -8,7 +8,7 @@ fitted on labelled documents that the dictionaries have not seen, gives the cali
 
 The toxic dictionary is trained on what sets toxic text apart: from toxic documents the words
 remain whose document frequency is significantly higher there (G-squared). Frequencies count
-families of documents with one smallest word hash, so near copies count about once.
+families of documents with one smallest hash of four words, so near copies count about once.
 
 Words are compared in lower case, with runs of anything but letters as one space. Defined cases:
 null text counts as empty; an empty text saves nothing and gets the score of that; equal texts
@@ -59,11 +59,12 @@ def distinct_words(texts: list[str], labels: list[int], least: float = 40.0) ->
     families: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
     every: tuple[set, set] = (set(), set())
     for text, label in zip(texts, labels):
-        found = set(words_of(text).split())
-        if found:
-            family = min(map(xxhash.xxh64_intdigest, found))
+        words = words_of(text).split()
+        if words:
+            family = min(xxhash.xxh64_intdigest(" ".join(words[i : i + 4]))
+                         for i in range(max(1, len(words) - 3)))
             every[label].add(family)
-            for w in found:
+            for w in set(words):
                 families[label][w].add(family)
     n0, n1 = max(1, len(every[0])), max(1, len(every[1]))
     kept = set()
