@@ -119,3 +119,23 @@ def test_calendar_phases(spark):
 def test_calendar_of_one_day(spark):
     spine = spark.createDataFrame([("2024-01-01",)], "day string")
     assert allocate.calendar_phases(spine).first().progress == 0.0
+
+
+def exact(df):
+    return sorted((r.g is None, r.g or 0, r.pos, r.share, r.allotted) for r in df.collect())
+
+
+@pytest.mark.parametrize("spread", ["even", "ties", "close"])
+def test_both_paths_give_the_same_to_the_last_bit(spark, spread):
+    """A null hot key, and groups a hundred times the window, against the plain path."""
+    weight = {"even": F.rand(3) * 50, "ties": F.lit(0.1),
+              "close": 1 + F.col("id") * F.lit(1e-7)}[spread]
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3).alias("g"),
+        F.col("id").alias("pos"), F.lit(777_771).alias("total"), weight.alias("w"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    plain = allocate.apportion_by_weight(df, ["g"], "total", "w", "pos")
+    cut = allocate.apportion_by_weight(df, ["g"], "total", "w", "pos", window_rows=20)
+    assert exact(plain) == exact(cut)
+    assert {r[0] for r in cut.groupBy("g").agg(F.sum("allotted")).select("sum(allotted)").collect()
+            } == {777_771}

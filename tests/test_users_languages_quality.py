@@ -126,13 +126,17 @@ def test_series_fold_the_rest(spark, rows):
         ("1", "Other", 2), ("1", "a", 9), ("1", "b", 5), ("2", "Other", 1), ("2", "b", 1),
     ]
     wide = languages.language_pivot(df, 2)
-    assert wide.columns == ["day", "a", "b", "Other"]
-    assert rows(wide) == [("1", 9, 5, 2), ("2", None, 1, 1)]
+    assert wide.columns == ["day", "top_1", "top_2", "other", "series"]
+    assert rows(wide) == [("1", 9, 5, 2, ["a", "b", "Other"]), ("2", None, 1, 1, ["a", "b", "Other"])]
 
 
 def test_rest_is_listed_only_if_positive(spark):
     df = scores(spark, ("1", "a", 9), ("1", "b", 0))
-    assert languages.language_pivot(df, 1).columns == ["day", "a"]
+    assert [tuple(r) for r in languages.language_pivot(df, 1).collect()] == [("1", 9, None, ["a"])]
+    by_org = df.withColumn("org", F.lit("x")).unionByName(
+        df.where("language = 'b'").withColumn("org", F.lit("y")))
+    assert {(r.org, tuple(r.series)) for r in languages.language_pivot(by_org, 1, ["org"]).collect()} == {
+        ("x", ("a",)), ("y", ("b",))}
 
 
 def test_language_called_other_shares_the_series(spark, rows):

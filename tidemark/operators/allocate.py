@@ -3,12 +3,15 @@
 Groups may be of any size. Group sizes are counted first (map-side combined).
 Groups up to ``window_rows`` rows are handled by a window per group. The rows of
 larger groups stay spread over the cluster and take their group's totals from a
-joined frame with one row per large group.
+joined frame with one row per large group. Sums of weights are decimals, which do
+not depend on the order of rows, so both ways give the same shares to the last bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,16 +36,21 @@ class _Hot:
         self.rows, self.group, self.spread, self.small = rows, list(group), spread, small
 
     def join(self, items: DataFrame, totals: DataFrame | None = None, how: str = "inner"):
-        """Join items to one row per large group without gathering a group in one task."""
+        """Join items to one row per large group without gathering a group in one task.
+
+        A null key is a key like any other.
+        """
         totals = self.rows if totals is None else totals
+        named = {g: f"_group_{i}" for i, g in enumerate(self.group)}
+        totals = totals.withColumnsRenamed(named)
+        same = reduce(and_, [items[g].eqNullSafe(totals[n]) for g, n in named.items()])
         if self.small:
-            return items.join(F.broadcast(totals), self.group, how)
-        if how == "left_anti":
-            totals = totals.select(*self.group)
-        copies = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+            return items.join(F.broadcast(totals), same, how).drop(*named.values())
+        copies = totals.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         salt = F.pmod(F.xxhash64(self.spread), F.lit(_SALTS)).cast("int")
-        salted = items.withColumn("_salt", salt)
-        return salted.join(copies, [*self.group, "_salt"], how).drop("_salt")
+        same = reduce(and_, [items[g].eqNullSafe(copies[n]) for g, n in named.items()])
+        joined = items.join(copies, same & (salt == copies["_copy"]), how)
+        return joined.drop("_copy", *named.values())
 
 
 def _large_groups(
@@ -64,7 +72,13 @@ def _large_groups(
     return _Hot(rows, group, spread, True)
 
 
+def _total(weight: str) -> Column:
+    """Sum of weights, counted to 12 decimals; the same in any order of rows."""
+    return F.sum(F.col(weight).cast("decimal(38,12)"))
+
+
 def _share(weight: Column, total: Column, n: Column) -> Column:
+    total = total.cast("double")
     return F.when(total > 0, weight / total).otherwise(F.lit(1.0) / n)
 
 
@@ -78,7 +92,7 @@ def normalised_weights(
 ) -> DataFrame:
     """Add ``share``: boosted weight over the group's sum, equal if that is not positive."""
     rows = items.withColumn("_w", _boosted(weight, boost))
-    hot = _large_groups(rows, group, position, window_rows, [F.sum("_w").alias("_sum")])
+    hot = _large_groups(rows, group, position, window_rows, [_total("_w").alias("_sum")])
     return _with_shares(rows, hot, group).drop("_w")
 
 
@@ -91,7 +105,7 @@ def _with_shares(rows: DataFrame, hot: _Hot | None, group: Sequence[str]) -> Dat
     g = Window.partitionBy(*group)
     small = rows if hot is None else hot.join(rows, how="left_anti")
     small = small.withColumn(
-        "share", _share(F.col("_w"), F.sum("_w").over(g), F.count(F.lit(1)).over(g))
+        "share", _share(F.col("_w"), _total("_w").over(g), F.count(F.lit(1)).over(g))
     )
     if hot is None:
         return small
@@ -165,7 +179,7 @@ def apportion_by_weight(
     Ordinary groups then need a single shuffle for both steps.
     """
     rows = items.withColumn("_w", _boosted(weight, boost))
-    hot = _large_groups(rows, group, position, window_rows, [F.sum("_w").alias("_sum")])
+    hot = _large_groups(rows, group, position, window_rows, [_total("_w").alias("_sum")])
     if hot is None:
         shares = _with_shares(rows, None, group).drop("_w")
         return _split_small(_parts(shares, total, "share"), group, position, out)
@@ -187,48 +201,62 @@ def _split_large(
     Cell counts show in which cell the remainder runs out. Cells before it get
     one each, and only that cell is ranked row by row.
 
-    The rows are read four times, so they are written to the shared folder once
+    The rows are read several times, so they are written to the shared folder once
     instead of being derived again each time.
     """
+    left = rows.groupBy(*group).agg((F.max("_total") - F.sum("_base")).alias("_left"))
+    rows = hot.join(rows, left)
+    return _rank_large(rows, hot, group, position, out, window_rows).drop("_left", *_HELPERS)
+
+
+def _rank_large(
+    rows: DataFrame, hot: _Hot, group: Sequence[str], position: str, out: str, window_rows: int
+) -> DataFrame:
+    """One more for the first ``_left`` rows of each group; the edge is cut until it is small."""
     rows = stored(rows, "apportion")
     quantiles = F.lit([i / _CUTS for i in range(1, _CUTS)])
-    stats = rows.groupBy(*group).agg(
-        (F.max("_total") - F.sum("_base")).alias("_left"),
-        F.percentile_approx("_frac", quantiles, F.lit(50 * _CUTS)).alias("_cuts"),
-    )
+    cuts = rows.groupBy(*group).agg(
+        F.percentile_approx("_frac", quantiles, F.lit(50 * _CUTS)).alias("_cuts"))
     above = F.size(F.filter("_cuts", lambda c: c > F.col("_frac")))
     tied = F.array_contains("_cuts", F.col("_frac"))
     span = F.when(tied, F.floor(F.col(position) / window_rows)).otherwise(F.lit(0)).cast("bigint")
     cell = F.struct(above.alias("a"), tied.alias("t"), span.alias("p"))
-    rows = hot.join(rows, stats).withColumn("_cell", cell).drop("_cuts")
+    celled = hot.join(rows, cuts).withColumn("_cell", cell).drop("_cuts")
 
     # Few rows per group from here: cells of a group, then one row per group.
     so_far = (
         Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     )
     cells = (
-        rows.groupBy(*group, "_cell")
+        celled.groupBy(*group, "_cell")
         .agg(F.count(F.lit(1)).alias("_rows"), F.max("_left").alias("_left"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(so_far), F.lit(0)))
     )
-    last = (
+    last = stored(
         cells.where(F.col("_before") < F.col("_left"))
         .groupBy(*group)
-        .agg(F.max_by(F.struct("_cell", "_before"), "_before").alias("_last"))
-        .select(
-            *group, F.col("_last._cell").alias("_edge"), F.col("_last._before").alias("_before")
-        )
-    )
-    placed = hot.join(rows, last, "left")
+        .agg(F.max_by(F.struct("_cell", "_before", "_rows"), "_before").alias("_last"))
+        .select(*group, F.col("_last._cell").alias("_edge"),
+                F.col("_last._before").alias("_before"), F.col("_last._rows").alias("_size")),
+        "apportion")
+    placed = hot.join(celled, last, "left")
     on_edge = F.coalesce(F.col("_cell") == F.col("_edge"), F.lit(False))
     sure = F.coalesce(F.col("_cell") < F.col("_edge"), F.lit(False))
+    helpers = ["_cell", "_edge", "_before", "_size"]
     settled = placed.where(~on_edge).withColumn(out, F.col("_base") + sure.cast("bigint"))
+    edge = placed.where(on_edge).withColumn("_left", F.col("_left") - F.col("_before"))
     ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
-    place = F.col("_before") + F.row_number().over(ranked)
-    edge = placed.where(on_edge).withColumn(
-        out, F.col("_base") + (place <= F.col("_left")).cast("bigint")
-    )
-    return settled.unionByName(edge).drop("_cell", "_edge", "_before", "_left", *_HELPERS)
+    extra = (F.row_number().over(ranked) <= F.col("_left")).cast("bigint")
+    # a tied cell holds at most window_rows positions, others may need another cut
+    wide = (F.col("_size") > window_rows) & ~F.col("_cell.t")
+    more = last.where((F.col("_size") > window_rows) & ~F.col("_edge.t")).limit(1).count()
+    small = edge.where(~wide) if more else edge
+    done = settled.drop(*helpers).unionByName(
+        small.withColumn(out, F.col("_base") + extra).drop(*helpers))
+    if not more:
+        return done
+    again = _rank_large(edge.where(wide).drop(*helpers), hot, group, position, out, window_rows)
+    return done.unionByName(again)
 
 
 def feature_of(language: Column, phase: Column) -> Column:

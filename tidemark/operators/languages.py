@@ -60,15 +60,19 @@ def language_series(languages: DataFrame, k: int = 6, by: Sequence[str] = ()) ->
 
 
 def language_pivot(languages: DataFrame, k: int = 6, by: Sequence[str] = ()) -> DataFrame:
-    """The series side by side, one column each; absent cells stay null.
+    """The series side by side, by rank: ``top_1`` to ``top_k`` and ``other``.
 
-    Reads the at most ``k + 1`` series names first (per key of ``by``), because
-    the columns of a frame have to be known.
+    Absent cells stay null. ``series`` lists the names in that order, the same on every row (of a
+    key of ``by``), so the columns do not depend on the data and no job runs to name them.
     """
     series = language_series(languages, k, by)
-    names = series.groupBy("series").agg(F.min("series_rank").alias("r")).orderBy("r", "series")
-    columns = [row.series for row in names.collect()]
-    return series.groupBy(*by, "day").pivot("series", columns or [OTHER]).agg(F.sum("score"))
+    ranked = [F.sum(F.when(F.col("series_rank") == i, F.col("score"))).alias(f"top_{i}")
+              for i in range(1, k + 1)]
+    other = F.sum(F.when(F.col("series_rank") > k, F.col("score"))).alias("other")
+    wide = series.groupBy(*by, "day").agg(*ranked, other)
+    # at most k + 1 names per key
+    names = F.array_sort(F.collect_set(F.struct("series_rank", "series")))["series"]
+    return attach_total(wide, series, names, "series", by)
 
 
 def infra_languages(languages: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fields import DEFAULT_WINDOW, WINDOW_OPTIONS
 from ..functions.ranking import top_k
@@ -45,8 +46,17 @@ def _resolved(total: Column, selected: int | None) -> Column:
 
 
 def last_days(daily: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
-    """The last ``n`` report rows by day."""
-    return top_k(daily, n, [F.desc("day")], by, "_pos").drop("_pos")
+    """The last ``n`` report rows by day; a day listed twice goes by its other columns."""
+    return top_k(daily, n, _by_day(daily, by), by, "_pos").drop("_pos")
+
+
+def _by_day(daily: DataFrame, by: Sequence[str]) -> list[Column]:
+    rest = [f.name for f in daily.schema if f.name not in ("day", *by) and _sortable(f.dataType)]
+    return [F.desc("day"), *[F.desc(F.col(f"`{c}`")) for c in rest]]
+
+
+def _sortable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.ArrayType, T.StructType, T.VariantType))
 
 
 def visible_days(
@@ -57,7 +67,7 @@ def visible_days(
     No window exceeds the largest option, so that many rows per key settle both
     the count and the choice.
     """
-    top = top_k(daily, max(WINDOW_OPTIONS), [F.desc("day")], by, "_pos")
+    top = top_k(daily, max(WINDOW_OPTIONS), _by_day(daily, by), by, "_pos")
     total = F.count(F.lit(1)).over(Window.partitionBy(*by))
     kept = top.withColumn("_total", total).where(
         F.col("_pos") <= _resolved(F.col("_total"), selected)

@@ -353,8 +353,15 @@ series AS (
 kept AS (SELECT * FROM series WHERE series_rank < 7
          OR EXISTS (SELECT 1 FROM series WHERE series_rank = 7 AND score > 0))"""
 put("language_series", _SERIES, "SELECT day, series, series_rank, score FROM kept")
-put("language_pivot", _SERIES, """
-SELECT * FROM (PIVOT (SELECT day, series, score FROM kept) ON series USING any_value(score) GROUP BY day)""")
+_RANKED = ", ".join(
+    f"CAST(sum(CASE WHEN series_rank = {i} THEN score END) AS BIGINT) AS top_{i}"
+    for i in range(1, 7))
+put("language_pivot", _SERIES, f"""
+SELECT day, {_RANKED},
+  CAST(sum(CASE WHEN series_rank = 7 THEN score END) AS BIGINT) AS other,
+  (SELECT string_agg(series, ', ' ORDER BY series_rank)
+   FROM (SELECT DISTINCT series, series_rank FROM kept)) AS series
+FROM kept GROUP BY day""")
 put("infra_languages", _VLANG, f"""
 SELECT CAST(position AS BIGINT) AS position, language, count(*) AS day_rows
 FROM vl JOIN (SELECT unnest([{", ".join(f"'{n}'" for n in INFRA_LANGUAGES)}]) AS language,

@@ -313,7 +313,8 @@ def language_series(spark, sf):
 
 @query
 def language_pivot(spark, sf):
-    return languages.language_pivot(_visible_languages(spark, sf))
+    wide = languages.language_pivot(_visible_languages(spark, sf))
+    return wide.withColumn("series", F.array_join("series", ", "))
 
 
 @query

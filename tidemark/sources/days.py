@@ -11,20 +11,22 @@ from pyspark.sql import functions as F
 from ..fields import MAX_REPORT_DAYS, REPORT_LAG_DAYS
 
 
-def check_window(days: int) -> int:
-    if not 1 <= days <= MAX_REPORT_DAYS:
-        raise ValueError(f"report window must be 1..{MAX_REPORT_DAYS} days, got {days}")
+def check_window(days: int, most: int = MAX_REPORT_DAYS) -> int:
+    """`most` is the longest window that the report service offers."""
+    if not 1 <= days <= most:
+        raise ValueError(f"report window must be 1..{most} days, got {days}")
     return days
 
 
 def report_days(
-    spark: SparkSession, days: int = MAX_REPORT_DAYS, end: dt.date | None = None
+    spark: SparkSession, days: int = MAX_REPORT_DAYS, end: dt.date | None = None,
+    most: int = MAX_REPORT_DAYS,
 ) -> DataFrame:
     """The last ``days`` report days up to ``end``, as ISO text.
 
     Reports lag, so ``end`` defaults to two days before today.
     """
-    check_window(days)
+    check_window(days, most)
     end = end or dt.date.today() - dt.timedelta(days=REPORT_LAG_DAYS)
     start = end - dt.timedelta(days=days - 1)
     span = F.sequence(F.lit(start), F.lit(end))
@@ -50,10 +52,11 @@ def indexed_days(spine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def trailing_days(
-    df: DataFrame, days: int = MAX_REPORT_DAYS, by: Sequence[str] = (), column: str = "day"
+    df: DataFrame, days: int = MAX_REPORT_DAYS, by: Sequence[str] = (), column: str = "day",
+    most: int = MAX_REPORT_DAYS,
 ) -> DataFrame:
     """The last ``days`` calendar days up to the last day seen in ``df``."""
-    check_window(days)
+    check_window(days, most)
     end = F.max(F.col(column).cast("date"))
     span = F.sequence(F.date_sub(end, days - 1), end)
     return (

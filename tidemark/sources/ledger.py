@@ -56,7 +56,7 @@ def updated_at():
 
 
 def _newest(events: DataFrame, keys: Sequence[str], order) -> DataFrame:
-    """The last event per key: an aggregate with map-side combine, not a sort."""
+    """The last event per key: combined map-side, by a sort, as a row of events is not hashable."""
     row = F.max_by(F.struct(*events.columns), order)
     return events.groupBy(*keys).agg(row.alias("_r")).select("_r.*")
 
@@ -67,9 +67,18 @@ def current_runs(events: DataFrame) -> DataFrame:
 
 
 def latest_per_source(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per source: the state written last, with its update time."""
-    order = F.struct(updated_at(), _state_order(), F.col("id"))
-    newest = _newest(events, [*by, "source"], order)
+    """One row per source: the state written last, with its update time.
+
+    The time and state of the last event are one number, so they are found by hash aggregation;
+    the events of that number, a few per source, are then told apart by their ids.
+    """
+    keys = [*by, "source"]
+    place = F.unix_micros(updated_at()) * 2 + _state_order()
+    timed = events.withColumn("_place", place)
+    last = timed.groupBy(*keys).agg(F.max("_place").alias("_last"))
+    same = [timed[k].eqNullSafe(last[k]) for k in keys]
+    few = timed.join(last, [*same, timed["_place"].eqNullSafe(last["_last"])], "left_semi")
+    newest = _newest(few.drop("_place"), keys, F.col("id"))
     return newest.select(
         F.concat(F.lit("latest:"), F.col("source")).alias("latest_id"),
         F.col("id").alias("run_id"),
