@@ -102,7 +102,8 @@ def distinct_texts(docs: DataFrame, row_col: str, text_col: str,
     classes = stored(keyed.groupBy("key").agg(F.min("row").alias("node"),
                                               F.count("*").alias("copies")), "texts")
     name = f"texts_{uuid.uuid4().hex}"
-    (plain.where(F.octet_length("text") >= length)
+    # dealt out by row whatever kind of join follows, so that each bucket is one file
+    (plain.where(F.octet_length("text") >= length).repartition(tasks(spark), "row")
      .join(classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
      .write.bucketBy(tasks(spark), "node").option("compression", "zstd")
      .option("path", fresh_path(spark, "texts")).saveAsTable(name))
