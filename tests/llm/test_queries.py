@@ -1,0 +1,20 @@
+"""The registered queries: all are there, and those with SQL agree with it."""
+
+import pytest
+
+import __spark_entry__ as entry_module
+from compare import connect, difference
+from tidemark.llm.queries import ORACLE, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_all_are_registered():
+    names = entry_module.queries()
+    assert set(QUERIES) <= set(names) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert difference(spark, connect(SF_DIR), name, QUERIES[name], ORACLE[name], SF_DIR) is None
