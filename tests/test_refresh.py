@@ -121,3 +121,31 @@ def test_org_table_gives_daily_and_language_views(spark, tmp_path, rows):
     area.refresh()
     assert rows(area.view("daily_summary"), "day", PROMPTS) == [("2025-01-01", 4)]
     assert rows(area.view("language_summary"), "language", "activity_score") == [("go", 2)]
+
+
+@pytest.mark.parametrize("restated", ["empty", "null", "absent"])
+def test_restated_breakdown_leaves_no_old_rows(spark, tmp_path, rows, restated):
+    area = Landing(spark, tmp_path, "org_metrics")
+    entry = {"language": "go", "feature": "x", PROMPTS: 1}
+    for day in ("2025-01-01", "2025-01-02"):
+        area.put(day, "01", [{"day": day, PROMPTS: 4, "totals_by_language_feature": [entry]}])
+    area.refresh()
+    again = {"day": "2025-01-02", PROMPTS: 5}
+    if restated != "absent":
+        again["totals_by_language_feature"] = [] if restated == "empty" else None
+    area.put("2025-01-02", "02", [again])
+    area.refresh()
+    assert rows(area.view("daily_summary"), "day", PROMPTS) == [("2025-01-01", 4), ("2025-01-02", 5)]
+    assert rows(area.view("language_summary"), "day", "language") == [("2025-01-01", "go")]
+
+
+def test_windows_count_listed_days(spark, tmp_path):
+    """A missing calendar day takes no place in a window and gets no row."""
+    area = Landing(spark, tmp_path)
+    listed = [f"2025-01-{d:02d}" for d in (1, 2, 3, 10, 11, 12, 13, 14)]
+    for i, day in enumerate(listed):
+        area.put(day, "01", [user(day, "a", **{FLAG_AGENT: i == 0})])
+    area.refresh()
+    got = {r.day: r[AGENT_7D] for r in area.view("org_from_users").collect()}
+    assert got == {d: int(i < 7) for i, d in enumerate(listed)}
+    assert spark.read.parquet(f"{area.out}/user_summary").count() == 1

@@ -9,7 +9,7 @@ grouped on the date and the numeric id, and named in text afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fields import (
@@ -31,8 +31,11 @@ FEATURE_OF_EVENT = {
 }
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    """The log, or its events from the time ``since`` on, a bound that the scan can use."""
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if since is not None:
+        raw = raw.where(F.col("ts") >= since)
     return raw.selectExpr(
         "cast(ts as date) as date",
         "hour(ts) as hour",
@@ -126,10 +129,27 @@ def event_days(ev: DataFrame) -> DataFrame:
     return observed_days(ev, column="date")
 
 
-def org_days(ev: DataFrame) -> DataFrame:
-    """Organization-day rows without the breakdown."""
+def org_days(ev: DataFrame, spine: DataFrame | None = None) -> DataFrame:
+    """Organization-day rows without the breakdown, for the days of the log or of ``spine``."""
     users = _user_dates(ev).selectExpr(_DAY, "user_id", *METRICS, *FLAGS)
-    return org_daily(users, event_days(ev), user="user_id", unique=True)
+    spine = event_days(ev) if spine is None else spine
+    return org_daily(users, spine, user="user_id", unique=True)
+
+
+def recent(
+    spark: SparkSession, sf_dir: str, visible: DataFrame, lead: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """The events from ``lead`` days before the first visible day on, and their report days.
+
+    The bound is one value, found from the days of the log, so the scan skips older row groups
+    before anything is aggregated.
+    """
+    kind = spark.read.parquet(f"{sf_dir}/events.parquet").schema["ts"].dataType
+    first = F.date_sub(F.min(F.col("day").cast("date")), lead)
+    since = visible.agg(first.cast(kind).alias("since"))
+    days = event_days(events(spark, sf_dir))
+    kept = days.where(F.col("day") >= visible.agg(first.cast("string").alias("first")).scalar())
+    return events(spark, sf_dir, since.scalar()), kept
 
 
 def org_entries(ev: DataFrame) -> DataFrame:

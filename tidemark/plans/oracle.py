@@ -187,6 +187,14 @@ SELECT day, count(DISTINCT user_login) FILTER ({FLAG_AGENT}) AS users FROM ud GR
 # --- windows
 put("visible_days", _VIS, "SELECT * FROM v")
 put("last_14_days", _ORG, "SELECT * FROM od ORDER BY day DESC LIMIT 14")
+_ORDER_DAYS = """od AS (
+  SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day, count(*) AS orders,
+    CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS amount
+  FROM orders GROUP BY 1)"""
+put("order_days_default", _ORDER_DAYS, "SELECT * FROM od ORDER BY day DESC LIMIT 60")
+put("order_days_selected", _ORDER_DAYS, " UNION ALL ".join(
+    f"SELECT * FROM (SELECT *, CAST({n} AS INTEGER) AS selected FROM od ORDER BY day DESC LIMIT {k})"
+    for n, k in ((28, 28), (100, 100), (45, 60))))
 put("visible_user_daily", f"{_BASE},\n{_visible_of('ud', 'v')}", "SELECT * FROM v")
 put("visible_language_daily", f"{_LANG},\n{_SPINE},\n{_visible_of('lang', 'v')}", "SELECT * FROM v")
 put("window_user_summary", _WU, "SELECT * FROM wu")
@@ -527,8 +535,11 @@ put("view_documents", _ALL, " UNION ALL ".join(
   '{n}' AS view_type, ({q}) AS items"""
     for n, q in _COUNTS.items() for prefix in ("latest", "run-1")))
 
-_DELIVERED = "ev WHERE hour(ts) < 20 OR ev.day >= '2024-01-21'"
-put("refresh_available_now", f"{_EV},\nud AS ({_user_days_of(_DELIVERED)})", "SELECT * FROM ud")
-ORACLE["refresh_org_rows"] = ORACLE["daily_summary"].replace(
-    _user_days_of("ev"), _user_days_of(_DELIVERED)
-)
+# every day is restated in full, so a refresh ends in the whole table
+ORACLE["refresh_available_now"] = ORACLE["user_daily_summary"]
+ORACLE["refresh_org_rows"] = ORACLE["daily_summary"]
+ORACLE["refresh_user_totals"] = ORACLE["user_summary"]
+put("refresh_restated_languages", _LANG,
+    "SELECT * FROM lang WHERE dayofmonth(CAST(day AS DATE)) % 2 = 1")
+for _name in ("summary_kpis", "user_table", "language_ranking"):
+    ORACLE[f"published_{_name}"] = ORACLE[_name]

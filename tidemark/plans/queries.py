@@ -33,13 +33,26 @@ def _daily(spark, sf):
     return model.org_days(model.events(spark, sf))
 
 
-def _visible(spark, sf):
-    return windows.visible_days(_daily(spark, sf))
+def _visible_spine(spark, sf, selected=None):
+    """The days of the visible window; needs the day column of the log only."""
+    return windows.visible_days(model.event_days(model.events(spark, sf)), selected)
+
+
+#: Days before the first visible one that reach into its rolling counts.
+_LEAD = 27
+
+
+def _visible(spark, sf, spine=None):
+    """Visible report days, from the events of these days and those that reach into them."""
+    spine = _visible_spine(spark, sf) if spine is None else spine
+    ev, days_with_lead = model.recent(spark, sf, spine, _LEAD)
+    return windows.restrict_to_days(model.org_days(ev, days_with_lead), spine)
 
 
 def _visible_sums(spark, sf):
     """Visible report days without the rolling counts: no shuffle by user."""
-    return windows.visible_days(_sums(spark, sf))
+    ev, visible = model.recent(spark, sf, _visible_spine(spark, sf))
+    return rollups.org_rollup(model.user_days(ev), visible)
 
 
 def _sums(spark, sf):
@@ -47,14 +60,10 @@ def _sums(spark, sf):
     return rollups.org_rollup(model.user_days(ev), model.event_days(ev))
 
 
-def _visible_spine(ev):
-    """The days of the visible window; needs the day column of the log only."""
-    return windows.visible_days(model.event_days(ev))
-
-
 def _visible_user_days(spark, sf):
-    ev = model.events(spark, sf)
-    return windows.restrict_to_days(model.user_days(ev), _visible_spine(ev))
+    spine = _visible_spine(spark, sf)
+    ev, _ = model.recent(spark, sf, spine)
+    return windows.restrict_to_days(model.user_days(ev), spine)
 
 
 def _window_users(spark, sf):
@@ -62,9 +71,10 @@ def _window_users(spark, sf):
 
 
 def _visible_languages(spark, sf):
-    ev = model.events(spark, sf)
+    spine = _visible_spine(spark, sf)
+    ev, _ = model.recent(spark, sf, spine)
     daily = views.language_totals(model.org_entries(ev))
-    return windows.restrict_to_days(daily, _visible_spine(ev))
+    return windows.restrict_to_days(daily, spine)
 
 
 # --- curated views ---------------------------------------------------------
@@ -172,7 +182,28 @@ def visible_days(spark, sf):
 
 @query
 def last_14_days(spark, sf):
-    return windows.last_days(_daily(spark, sf), 14)
+    return _visible(spark, sf, windows.last_days(model.event_days(model.events(spark, sf)), 14))
+
+
+def _order_days(spark, sf):
+    """Report rows of a log of several years: orders by day."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    return orders.groupBy(F.col("o_orderdate").cast("date").cast("string").alias("day")).agg(
+        F.count("*").alias("orders"),
+        F.sum(F.floor("o_totalprice").cast("bigint")).alias("amount"))
+
+
+@query
+def order_days_default(spark, sf):
+    return windows.visible_days(_order_days(spark, sf))
+
+
+@query
+def order_days_selected(spark, sf):
+    """The longest and the shortest window by choice; one that is not on offer gives the default."""
+    daily = _order_days(spark, sf)
+    chosen = [windows.visible_days(daily, n).withColumn("selected", F.lit(n)) for n in (28, 100, 45)]
+    return chosen[0].unionByName(chosen[1]).unionByName(chosen[2])
 
 
 @query
@@ -545,15 +576,13 @@ def view_documents(spark, sf):
 
 
 def _refreshed(spark, sf):
-    """Land a first delivery without late events, then restate the last ten days."""
+    """A first delivery of every day without its late events, then every day restated in full."""
     root = scratch.fresh_dir(spark, "refresh")
     landing, out, checkpoint = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
     ev = model.events(spark, sf)
-    streaming.land(model.user_reports(ev.where("hour < 20")), landing, "user_metrics", "0001")
-    streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
-    restated = model.user_reports(ev.where("date >= '2024-01-21'"))
-    streaming.land(restated, landing, "user_metrics", "0002")
-    streaming.refresh(spark, landing, out, "user_metrics", checkpoint)
+    for delivery, part in (("0001", ev.where("hour < 20")), ("0002", ev)):
+        streaming.land(model.user_reports(part), landing, "user_metrics", delivery)
+        streaming.refresh(spark, landing, out, "user_metrics", f"{checkpoint}/user")
     return out
 
 
@@ -565,3 +594,61 @@ def refresh_available_now(spark, sf):
 @query
 def refresh_org_rows(spark, sf):
     return streaming.read_days(spark, _refreshed(spark, sf), "org_from_users")
+
+
+@query
+def refresh_user_totals(spark, sf):
+    out = _refreshed(spark, sf)
+    return views.sort_view(spark.read.parquet(f"{out}/user_summary"), "user_summary")
+
+
+def _refreshed_org(spark, sf):
+    """Every day lands with its breakdown; then days of even date are restated without one."""
+    root = scratch.fresh_dir(spark, "refresh")
+    landing, out = f"{root}/landing", f"{root}/out"
+    reports = model.org_reports(model.events(spark, sf))
+    streaming.land(reports, landing, "org_metrics", "0001")
+    streaming.refresh(spark, landing, out, "org_metrics", f"{root}/checkpoint")
+    empty = F.array().cast(reports.schema[BREAKDOWN].dataType)
+    even = F.dayofmonth(F.col("day").cast("date")) % 2 == 0
+    restated = reports.withColumn(BREAKDOWN, F.when(even, empty).otherwise(F.col(BREAKDOWN)))
+    streaming.land(restated, landing, "org_metrics", "0002")
+    streaming.refresh(spark, landing, out, "org_metrics", f"{root}/checkpoint")
+    return out
+
+
+@query
+def refresh_restated_languages(spark, sf):
+    """Languages after a restatement that empties the breakdown of every second day."""
+    return streaming.read_days(spark, _refreshed_org(spark, sf), "language_summary")
+
+
+def _published(spark, sf):
+    """Views of an ingestion run, read back from their latest copies."""
+    root = scratch.fresh_dir(spark, "views")
+    snapshots.publish(_views(spark, sf), root, "mock", "events", "run-1")
+
+    def read(name):
+        return snapshots.read_view(spark, name, [root], "mock", "events")
+    return read
+
+
+@query
+def published_summary_kpis(spark, sf):
+    return kpis.summary_kpis(windows.visible_days(_published(spark, sf)("daily_summary")))
+
+
+@query
+def published_user_table(spark, sf):
+    read = _published(spark, sf)
+    visible = windows.visible_days(read("daily_summary"))
+    detail = windows.restrict_to_days(read("user_daily_summary"), visible)
+    return _as_text(users.user_table(users.window_user_summary(detail)))
+
+
+@query
+def published_language_ranking(spark, sf):
+    read = _published(spark, sf)
+    visible = windows.visible_days(read("daily_summary"))
+    return languages.language_ranking(
+        windows.restrict_to_days(read("language_summary"), visible))

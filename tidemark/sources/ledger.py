@@ -73,7 +73,7 @@ def latest_per_source(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     the events of that number, a few per source, are then told apart by their ids.
     """
     keys = [*by, "source"]
-    place = F.unix_micros(updated_at()) * 2 + _state_order()
+    place = F.unix_micros(updated_at().cast("timestamp")) * 2 + _state_order()
     timed = events.withColumn("_place", place)
     last = timed.groupBy(*keys).agg(F.max("_place").alias("_last"))
     same = [timed[k].eqNullSafe(last[k]) for k in keys]

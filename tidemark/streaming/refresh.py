@@ -15,7 +15,7 @@ source does not report files of zero bytes.
 
 from __future__ import annotations
 
-import datetime as dt
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from ..fields import BREAKDOWN, BREAKDOWN_TYPE, FLAGS, METRICS, ORG_METRICS, VIEW_SCHEMAS
 from ..operators import rollups, views
-from ..sources.days import observed_days
 from ..sources.ndjson import read_ndjson
 
 # One row per file. The content column is never selected, so no file is opened.
@@ -145,8 +144,13 @@ def refresh_days(
     emptied = {day for day in paths if day not in after}
     if filled:
         rows = _read_days(spark, root, filled, seen(after))
+        days = {day for day in paths if day in after}
         for view, build in _VIEWS_OF[table].items():
-            write_days(build(rows), f"{out}/{view}")
+            built = build(rows)
+            write_days(built, f"{out}/{view}")
+            # a day with rows may have none in this view, for instance an empty breakdown
+            kept = {r.day for r in built.select("day").distinct().collect()}
+            _drop_days(spark, f"{out}/{view}", days - kept)
     for view in [*_VIEWS_OF[table], *(["org_from_users"] if table == "user_metrics" else [])]:
         _drop_days(spark, f"{out}/{view}", emptied)
     if now:
@@ -156,22 +160,39 @@ def refresh_days(
     return sorted(paths)
 
 
+def landed_days(spark: SparkSession, out: str, table: str) -> list[str]:
+    """The listed report days of a table: those whose newest delivery has rows."""
+    stored = _read_or_none(spark, f"{out}/_fields/{table}", _FIELDS)
+    if stored is None:
+        return []
+    return sorted(r.day for r in stored.select("day").distinct().collect())
+
+
 def refresh_agent_activity(spark: SparkSession, out: str, touched: list[str]) -> None:
     """Recompute organization rows from the user rows for every day a touched day reaches.
 
-    A user-day counts in windows that end up to 27 report days later, so those days
-    are rewritten from the partitions of their own windows.
+    Windows count listed report days, not calendar days: a user-day counts in windows that end
+    up to 27 of them later, so those days are rewritten from the partitions of their own windows.
     """
-    reach = dt.timedelta(days=27)
-    first, last = (dt.date.fromisoformat(d) for d in (min(touched), max(touched)))
+    reach, listed = 27, landed_days(spark, out, "user_metrics")
     user_days = _read_or_none(spark, f"{out}/user_daily_summary", VIEW_SCHEMAS["user_daily_summary"])
-    if user_days is None:
+    if user_days is None or not listed:
         return
-    needed = user_days.where(F.col("day").between(str(first - reach), str(last + reach)))
-    rows = rollups.org_daily(needed, observed_days(needed))
-    write_days(
-        rows.where(F.col("day").between(str(first), str(last + reach))), f"{out}/org_from_users"
-    )
+    first = bisect_left(listed, min(touched))
+    last = bisect_right(listed, max(touched)) + reach
+    redone, spine = listed[first:last], listed[max(0, first - reach) : last]
+    if not redone:
+        return
+    needed = user_days.where(F.col("day").between(spine[0], spine[-1]))
+    days = spark.createDataFrame([(d,) for d in spine], "day string")
+    rows = rollups.org_daily(needed, days)
+    write_days(rows.where(F.col("day").between(redone[0], redone[-1])), f"{out}/org_from_users")
+
+
+def refresh_user_summary(spark: SparkSession, out: str) -> None:
+    """Whole-period user totals, from the refreshed user-days."""
+    totals = user_summary(spark, out)
+    totals.write.mode("overwrite").parquet(f"{out}/user_summary")
 
 
 def refresh(spark: SparkSession, landing: str, out: str, table: str, checkpoint: str) -> None:
@@ -187,6 +208,7 @@ def refresh(spark: SparkSession, landing: str, out: str, table: str, checkpoint:
         done = refresh_days(spark, landing, out, table, touched)
         if table == "user_metrics":
             refresh_agent_activity(spark, out, done)
+            refresh_user_summary(spark, out)
 
     files = spark.readStream.format("binaryFile").schema(_FILES).load(f"{landing}/{table}")
     stream = (
