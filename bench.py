@@ -1,4 +1,4 @@
-"""Times the headline queries and prints one JSON line."""
+"""Times the library's own queries and prints one JSON line."""
 
 from __future__ import annotations
 
@@ -8,28 +8,18 @@ import statistics
 import sys
 import time
 
-HEADLINE = [
-    "daily_summary", "user_summary", "user_daily_summary", "language_summary",
-    "org_language_rollup", "org_rollup", "rolling_agent_users", "monthly_agent_users",
-    "flag_adopters", "visible_user_daily", "window_user_summary", "summary_kpis",
-    "dau_insights", "code_milestones", "agent_insights", "mode_mix", "agent_trend",
-    "review_engagement", "review_hotspots", "top_reviewers", "user_table", "language_ranking",
-    "language_series", "apportion", "apportion_large_groups", "normalised_weights",
-    "signal_scores", "reconcile", "range_violations", "period_comparison", "missing_members",
-    "run_ledger_current", "latest_per_source", "ndjson_roundtrip", "drift_union",
-]
-
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
-    only = sys.argv[1:] or HEADLINE
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
 
     from pyspark.sql import SparkSession
 
     from tidemark.plans.queries import QUERIES
 
+    only = sys.argv[1:] or list(QUERIES)
+
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

@@ -25,6 +25,7 @@ def arguments() -> argparse.ArgumentParser:
     run.add_argument("--org")
     run.add_argument("--source", default="reports")
     run.add_argument("--trigger", default="manual")
+    run.add_argument("--report-window-days", type=int, default=100)
     run.add_argument("--format", choices=["parquet", "json"], default="parquet")
     inc = commands.add_parser("refresh", help="process the deliveries that landed since last time")
     inc.add_argument("--landing", required=True)
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         run = ingest(
             spark, args.org_reports, args.user_reports, args.root, org=args.org,
             source=args.source, trigger=args.trigger, fmt=args.format,
+            report_window_days=args.report_window_days,
         )
         print(run["id"], run["status"], run["snapshot_records"])
     else:

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import views
 from ..sources import ledger, snapshots
@@ -40,10 +41,12 @@ def ingest(
     report_window_days: int = 100,
     fmt: str = "parquet",
     keep_raw: bool = True,
+    end: dt.date | None = None,
 ) -> dict:
     """Build and publish the four views, with a ledger entry before and after.
 
-    Any failure is recorded as such and raised again. The user reports are parsed
+    Only the ``report_window_days`` calendar days up to ``end`` (the last landed day, unless given)
+    are taken from the reports, so the ledger states what was read. Any failure is recorded as such and raised again. The user reports are parsed
     for the user-day view only; the user totals are taken from its written copy.
     """
     check_window(report_window_days)
@@ -61,7 +64,10 @@ def ingest(
     }
     ledger.append_event(spark, ledger_path, run)
     try:
-        run.update(_build(spark, org_paths, user_paths, root, owner, source, run["id"], fmt, keep_raw))
+        org_raw, user_raw = in_window(
+            [read_ndjson(spark, org_paths), read_ndjson(spark, user_paths)],
+            report_window_days, end)
+        run.update(_build(spark, org_raw, user_raw, root, owner, source, run["id"], fmt, keep_raw))
         run["status"] = "succeeded"
     except BaseException as e:
         run.update(status="failed", error=str(e))
@@ -72,9 +78,24 @@ def ingest(
     return run
 
 
-def _build(spark, org_paths, user_paths, root, owner, source, run_id, fmt, keep_raw) -> dict:
-    org_raw = read_ndjson(spark, org_paths)
-    user_raw = read_ndjson(spark, user_paths)
+def in_window(
+    reports: Sequence[DataFrame], days: int, end: dt.date | None = None
+) -> list[DataFrame]:
+    """The rows of the last ``days`` calendar days; reports without a day column as they are."""
+    dated = [r for r in reports if "day" in r.columns]
+    if not dated:
+        return list(reports)
+    if end is None:
+        lasts = [r.agg(F.max("day").cast("date").alias("last")).scalar() for r in dated]
+        last = F.greatest(*lasts) if len(lasts) > 1 else lasts[0]
+    else:
+        last = F.lit(end)
+    first = F.date_sub(last, days - 1).cast("string")
+    inside = (F.col("day") >= first) & (F.col("day") <= last.cast("string"))
+    return [r.where(inside) if "day" in r.columns else r for r in reports]
+
+
+def _build(spark, org_raw, user_raw, root, owner, source, run_id, fmt, keep_raw) -> dict:
     raw, raw_places = {"org_metrics": org_raw, "user_metrics": user_raw}, {}
     if keep_raw:
         raw_places = snapshots.publish(raw, root, owner, source, run_id, kind="raw", fmt="json")

@@ -543,3 +543,4 @@ put("refresh_restated_languages", _LANG,
     "SELECT * FROM lang WHERE dayofmonth(CAST(day AS DATE)) % 2 = 1")
 for _name in ("summary_kpis", "user_table", "language_ranking"):
     ORACLE[f"published_{_name}"] = ORACLE[_name]
+put("ingest_window", f"{_BASE}", "SELECT * FROM ud WHERE day IN (SELECT day FROM sp ORDER BY day DESC LIMIT 14)")

@@ -15,6 +15,7 @@ from ..operators import (
 from ..sources import days, ledger, ndjson, scratch, snapshots
 from ..streaming import refresh as streaming
 from . import event_model as model
+from . import ingest as ingestion
 from .ledger_model import run_events
 
 QUERIES = {}
@@ -652,3 +653,15 @@ def published_language_ranking(spark, sf):
     visible = windows.visible_days(read("daily_summary"))
     return languages.language_ranking(
         windows.restrict_to_days(read("language_summary"), visible))
+
+
+@query
+def ingest_window(spark, sf):
+    """An ingestion run over the last 14 of all landed days."""
+    root = scratch.fresh_dir(spark, "ingest")
+    ev = model.events(spark, sf)
+    ndjson.write_ndjson(model.org_reports(ev), f"{root}/org")
+    ndjson.write_ndjson(model.user_reports(ev), f"{root}/user")
+    ingestion.ingest(spark, f"{root}/org", f"{root}/user", f"{root}/out", org="acme",
+                     report_window_days=14)
+    return snapshots.read_view(spark, "user_daily_summary", [f"{root}/out"], "acme", "reports")
