@@ -102,7 +102,7 @@ def kept_by_force(rows, t=0.8):
     return kept
 
 
-@pytest.mark.parametrize("group", [64, 2])
+@pytest.mark.parametrize("group", [512, 2])
 def test_line_dedup(documents, group):
     rows = planted()
     docs = numbered(documents(rows))

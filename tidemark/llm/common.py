@@ -40,6 +40,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Empties a table that `stored` has made, once nothing reads it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        empty = df.sparkSession.createDataFrame([], df.schema)
+        empty.write.mode("overwrite").parquet(folder)
+
+
 def tasks(spark: SparkSession) -> int:
     """Number of partitions for shuffles that this package sizes itself."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

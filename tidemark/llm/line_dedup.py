@@ -27,10 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import release, stored
 
 THRESHOLD = 0.8
-GROUP = 64  # sets with a prefix word, up to which pairs are emitted
+GROUP = 512  # sets with a prefix word, up to which pairs are emitted
 SLOTS = 1 << 18  # of the table of counts: 2 MB, whatever the size of the corpus
 _HASH = (1 << 57) - 1
 _EMPTY = -7444071767201028348  # xxhash64 of the empty string with the default seed
@@ -66,8 +66,8 @@ def rarity(docs: DataFrame, text_col: str) -> Column:
 
 
 def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
-            threshold: float) -> DataFrame:
-    """(id, first, n, bits, prefix) of each distinct set; `first` is the place of its first line."""
+            threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, first) and (id, n, bits, prefix) of each distinct set; `first` is its first place."""
     upper = rarity(docs, text_col)
     lines = lines_of(docs, row_col, id_col, text_col)
     # functions of array elements may refer to columns, but not to subqueries
@@ -88,8 +88,9 @@ def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
                  F.slice("set", F.lit(1), kept).alias("prefix")).alias("about"))
     one = described.groupBy("h1", "h2").agg(F.min("first").alias("first"),
                                             F.first("about").alias("about"))
-    return stored(one.select(F.monotonically_increasing_id().alias("id"), "first", "about.*"),
-                  "lines")
+    whole = stored(one.select(F.monotonically_increasing_id().alias("id"), "first", "about.*"),
+                   "lines")
+    return stored(whole.select("id", "first"), "places"), whole.drop("first")
 
 
 def similar(a: Column, b: Column, threshold: float) -> Column:
@@ -97,9 +98,9 @@ def similar(a: Column, b: Column, threshold: float) -> Column:
     return common >= F.lit(threshold) * (F.size(a) + F.size(b) - common) - 1e-9
 
 
-def removed(docs: DataFrame, sets: DataFrame, row_col: str, id_col: str, text_col: str,
+def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, text_col: str,
             threshold: float, group: int) -> DataFrame:
-    """(id) of the classes whose first line goes."""
+    """(id) of the classes whose first line goes; empties the table `sets` when it has been read."""
     met = Window.partitionBy("word")
     rows = (sets.select("id", "n", "bits", F.posexplode("prefix").alias("at", "word"))
             .withColumn("sets", F.count("*").over(met)))
@@ -113,30 +114,50 @@ def removed(docs: DataFrame, sets: DataFrame, row_col: str, id_col: str, text_co
         & (F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-9)
         & (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
            >= (1 - share) / 2 * total - 1e-9))
-    pairs = stored(
-        a.where(few).join(b.where(F.col("b.sets").between(2, group)),
-                          (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id"))
-                          & likely)
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "pairs")
-    many = stored(rows.where(F.col("sets") > group).select("word", "id", "n", "bits", "at"),
-                  "frequent")
+    pairs = (a.where(few).join(b.where(F.col("b.sets").between(2, group)),
+                               (F.col("a.word") == F.col("b.word"))
+                               & (F.col("a.id") < F.col("b.id")) & likely)
+             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    # one job, so that the prefix words are dealt out once
+    found = stored(pairs.unionByName(
+        rows.where(F.col("sets") > group).select("word", "id", "n", "bits", "at"),
+        allowMissingColumns=True), "pairs")
+    release(sets)
+    pairs = found.where("a is not null").select("a", "b")
+    many = found.where("id is not null").select("word", "id", "n", "bits", "at")
     wanted = (pairs.select(F.explode(F.array("a", "b")).alias("id"))
-              .unionAll(many.select("id")).distinct().join(sets.select("id", "first"), "id"))
-    places = wanted.groupBy(F.col("first.row").alias("row")).agg(
+              .unionAll(many.select("id")).distinct().join(places, "id"))
+    by_row = wanted.groupBy(F.col("first.row").alias("row")).agg(
         F.map_from_entries(F.collect_list(F.struct("first.no", "id"))).alias("ids"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     whole = stored(
         docs.select(F.col(f"`{row_col}`").cast("long").alias("row"), text.alias("text"))
-        .join(places, "row").select("ids", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+        .join(by_row, "row").select("ids", F.posexplode(F.split("text", "\n")).alias("no", "line"))
         .select(F.col("ids")[F.col("no")].alias("id"), "line").where("id is not null")
         .select("id", F.array_distinct(word_hashes(F.col("line"))).alias("set"))
-        .join(sets.select("id", "first"), "id"), "sets")
-    one = whole.select(F.col("id").alias("a"), F.col("set").alias("sa"), F.col("first").alias("fa"))
-    two = whole.select(F.col("id").alias("b"), F.col("set").alias("sb"), F.col("first").alias("fb"))
-    by_pair = (pairs.join(one, "a").join(two, "b").where(similar(F.col("sa"), F.col("sb"),
-                                                                 threshold))
-               .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a"))
-                       .alias("id")))
+        .join(places, "id"), "sets")
+    early = places.select(F.col("id").alias("a"), F.col("first").alias("fa"))
+    late = places.select(F.col("id").alias("b"), F.col("first").alias("fb"))
+    turn = F.col("fa") < F.col("fb")
+    ordered = pairs.join(early, "a").join(late, "b").select(
+        F.when(turn, F.col("a")).otherwise(F.col("b")).alias("early"),
+        F.when(turn, F.col("b")).otherwise(F.col("a")).alias("late"),
+        F.least("fa", "fb").alias("place"))
+    ordered = stored(ordered, "ordered")
+
+    def matched(candidates: DataFrame) -> DataFrame:
+        sets_of = whole.select("id", "set")
+        one = sets_of.withColumnsRenamed({"id": "early", "set": "se"})
+        two = sets_of.withColumnsRenamed({"id": "late", "set": "sl"})
+        return candidates.join(one, "early").join(two, "late").where(
+            similar(F.col("se"), F.col("sl"), threshold)).select(F.col("late").alias("id"))
+
+    # most lines that go are like their earliest candidate; the others are only for the rest
+    earliest = ordered.groupBy("late").agg(F.min_by("early", "place").alias("early"))
+    at_once = stored(matched(earliest).distinct(), "lines")
+    rest = ordered.select("early", "late").join(
+        at_once.withColumnRenamed("id", "late"), "late", "left_anti")
+    by_pair = at_once.unionAll(matched(rest))
     carried = many.join(whole, "id")
     a, b = carried.alias("a"), carried.alias("b")
     by_word = b.join(
@@ -152,9 +173,9 @@ def kept_lines(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col:
     Rows none of whose lines stay are absent. `row_col` numbers the rows of `docs`, which must be a
     table that reads the same each time.
     """
-    sets = classes(docs, row_col, id_col, text_col, threshold)
-    gone = removed(docs, sets, row_col, id_col, text_col, threshold, group)
-    return (sets.select("id", "first").join(gone, "id", "left_anti")
+    places, sets = classes(docs, row_col, id_col, text_col, threshold)
+    gone = removed(docs, places, sets, row_col, text_col, threshold, group)
+    return (places.join(gone, "id", "left_anti")
             .groupBy(F.col("first.row").alias("row"))
             .agg(F.sort_array(F.collect_list("first.no")).alias("kept")))
 
