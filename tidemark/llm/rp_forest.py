@@ -37,6 +37,7 @@ LEAF = 48  # points of a leaf, while the sample has enough of them
 LEAST_LEAF = 8  # sampled points of a leaf
 LOOK, POWER = 10.0, 0.75  # a query takes leaves until they hold LOOK * points ** POWER
 BLOCK, QUERY_BLOCK = 4096, 512
+HELD = 400_000  # rows that a task keeps before it emits them
 
 
 @dataclass
@@ -149,6 +150,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def fewest(query: np.ndarray, node: np.ndarray, score: np.ndarray,
+           k: int) -> tuple[np.ndarray, ...]:
+    """The k nearest nodes of each query, each once."""
+    order = np.lexsort((node, score, query))
+    query, node, score = query[order], node[order], score[order]
+    new = np.r_[True, (query[1:] != query[:-1]) | (node[1:] != node[:-1])]
+    query, node, score = query[new], node[new], score[new]
+    start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
+    place = np.arange(len(query)) - np.repeat(start, np.diff(np.r_[start, len(query)]))
+    return query[place < k], node[place < k], score[place < k]
+
+
+def _found(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]],
+                                      ["query_id", "node", "score"])
+
+
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
             vector_col: str = "embedding", k: int = NEIGHBOURS, trees: int = TREES,
             look: float = LOOK, max_sample: int = SAMPLE_ROWS) -> DataFrame:
@@ -221,6 +239,8 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
     dealt = queries.unionByName(stocked).repartition(*keys).sortWithinPartitions(*keys)
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
         for cell in runs(batches, keys):
             asks = cell.column("asks").to_numpy()
             if asks.all() or not asks.any():
@@ -233,11 +253,17 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
             for a in range(0, len(q), step):
                 d = np.sqrt(((x[a : a + step, None, :] - y) ** 2).sum(2))
                 best = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q[a : a + step], best.shape[1])),
-                     pa.array(nodes[best].ravel()),
-                     pa.array(np.take_along_axis(d, best, 1).ravel())],
-                    ["query_id", "node", "score"])
+                held.append((np.repeat(q[a : a + step], best.shape[1]), nodes[best].ravel(),
+                             np.take_along_axis(d, best, 1).ravel()))
+                rows += best.size
+            if rows > HELD:  # a task's blocks share queries, so only the best of all are kept
+                held = [fewest(*map(np.concatenate, zip(*held)), k + 1)]
+                rows = len(held[0][0])
+                if rows > HELD // 2:
+                    yield _found(held)
+                    held, rows = [], 0
+        if held:
+            yield _found([fewest(*map(np.concatenate, zip(*held)), k + 1)])
 
     found = dealt.mapInArrow(rank, "query_id long, node long, score double")
     found = found.groupBy("query_id", "node").agg(F.min("score").alias("score"))
