@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, line_dedup, packing, quality, suffix_dedup
-from tidemark.llm.common import fresh_path, table
+from tidemark.llm.common import fresh_path, stored, table
 from tidemark.llm.queries import tokenizer_path
 
 _ROW = "__row"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """`docs`, a table, with the place of each row in its files."""
-    return docs.withColumn(_ROW, F.monotonically_increasing_id())
+    """`docs` with a number for each row, stored: a scan's own numbers change with its splits."""
+    return stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def _like(made: DataFrame, docs: DataFrame) -> DataFrame:

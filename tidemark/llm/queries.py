@@ -19,7 +19,7 @@ from tidemark.llm import (
     suffix_dedup,
     toxicity,
 )
-from tidemark.llm.common import is_held_out, table
+from tidemark.llm.common import is_held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,8 +76,9 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Documents of a table with the number `row`: of its place in the files, so always the same."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    """Documents with the number `row`, stored: a scan's own numbers change with its splits."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+                  "numbered")
 
 
 @query
