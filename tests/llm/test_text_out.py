@@ -140,6 +140,29 @@ def test_pages(spark):
         "text", F.lit(1))
     out = html_text.extract(pages, html_text.fit(pages)).orderBy("page_id").collect()
     want = ["\n\n".join(b.text for b in html_text.blocks(p) if html_text.rule(b))
+@pytest.mark.parametrize("between", [
+    '<svg width="1"/>', '<math/>', '<svg><path d="M0"></svg>', '<svg><path d="M0">',
+    '<svg><title>t</title><style/></svg>', '<svg><title/>', '<svg><script>1<2</script></svg>',
+    '<object data="x">', '<canvas>', '<select>', '<template>', '<script>"</p><p>"</script>',
+    '<title>no</title>', '<iframe src="x"><p>no</iframe>', '<textarea><p>no</textarea>',
+    '<noscript><p>no</noscript >'])
+def test_no_element_takes_the_rest_of_the_article(between):
+    page = f"<article><p>one</p>{between}<p>two</p></article><footer><p>end</p></footer>"
+    read = html_text.blocks(page)
+    assert [b.text for b in read if html_text.rule(b)] == ["one", "two"]
+    assert read[-1].path == ("footer", "p")
+
+
+@pytest.mark.parametrize("inner, text", [
+    ("a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b", "a x=1 b"),
+    ("<object data='x'>instead</object> of", "instead of"),
+    ("<canvas>drawn</canvas> by", "drawn by"), ("a <svg/> b", "a b"),
+    ("<svg><text>axis</text><style>p{}</style></svg> is", "axis is")])
+def test_text_of_embedded_elements_stays(inner, text):
+    read = html_text.blocks(f"<article><p>{inner}</p></article>")
+    assert [b.text for b in read if html_text.rule(b)] == [text]
+
+
             for _, _, p in rows]
     assert np.mean([r["text"] == w for r, w in zip(out, want)]) > 0.95
     assert out[0]["text"] == out[-1]["text"] and out[-3]["text"] == out[-2]["text"] == ""

@@ -12,8 +12,10 @@ comments. From the sampled pages' blocks, training pages in other layouts are ma
 containers, class names and insertions, so the model does not depend on one template.
 
 Defined cases: null html counts as empty; a page without article blocks has empty text; unclosed
-and stray tags, comments and character references are read as browsers do for text; nothing is
-dropped inside an article block, whatever its length; equal pages have equal texts.
+and stray tags, comments and character references are read as browsers do for text; scripts,
+styles, titles, text areas, inline frames and noscript are not text; text in formulas, drawings,
+objects, selects and templates is, and labelled like other text; nothing is dropped inside an
+article block, whatever its length; equal pages have equal texts.
 """
 
 from __future__ import annotations
@@ -37,7 +39,10 @@ PATH, WORDS, NUMBERS, HIDDEN = 256, 24, 6, 16
 EPOCHS, BATCH, RATE = 8, 32, 0.01
 
 # Elements of HTML by their role in text.
-_RAW = "script|style|noscript|template|textarea|title|svg|iframe|object|select|math|canvas"
+_RAW = "script|style|noscript|textarea|title|iframe"  # no elements inside
+_FOREIGN = {"svg", "math"}  # there, tags that end in "/>" are empty, and blocks end them
+_IN_FOREIGN = {"foreignobject", "desc", "annotation-xml"}  # where html goes on
+_IN_SELECT = {"option", "button", "div", "hr", "legend"}  # other blocks end a select
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
@@ -53,10 +58,14 @@ _NOT_ARTICLE = set(
 _NOT_TAGS = {"nav", "footer", "aside", "form", "button", "label", "dialog", "menu"}
 _ARTICLE = {"article", "main"}
 
+_INSIDE = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rest>{_INSIDE}|[^>]*)>"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<of>{_INSIDE})>|<[!?/][^>]*>",
     re.S | re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW.split("|")}
+_FOREIGN_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>|(?=</(?:svg|math)[\s/>])", re.I)
+                for tag in _RAW.split("|")}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -113,32 +122,53 @@ def blocks(page: str | None) -> list[Block]:
             if stack[i][0] in until:
                 return
 
+    def inside(tags: set[str], until: set[str]) -> int:
+        """Place in the stack of the innermost element of `tags`, if none of `until` is in it."""
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in tags:
+                return i
+            if stack[i][0] in until:
+                break
+        return -1
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         add(page[at : m.start()])
         at = m.end()
-        tag = m.group(3)
+        raw = m["raw"]
+        tag, attributes = (raw, m["rest"]) if raw else (m["tag"], m["of"])
         if tag is None:
             continue
-        tag = tag.lower()
+        tag, empty = tag.lower(), attributes.rstrip().endswith("/")
+        if raw:
+            foreign = inside(_FOREIGN, _IN_FOREIGN) >= 0
+            if foreign and empty:
+                continue
+            closed = (_FOREIGN_END if foreign else _RAW_END)[tag].search(page, at)
+            if closed or not foreign:
+                at = closed.end() if closed else len(page)
+                continue
         if tag == "br":
             add(" ")
             continue
         if tag in _BLOCK:
             flush()
-        if m.group(2):
+        if m["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
             continue
         if tag in _BLOCK:
+            if (i := inside(_FOREIGN, _IN_FOREIGN)) >= 0:
+                del stack[i:]
+            if tag not in _IN_SELECT and (i := inside({"select"}, _FOREIGN)) >= 0:
+                del stack[i:]
             close({"p"}, {"div", "section", "article", "td", "li", "body", "main"})
             if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 close({"td", "th"} if tag in ("td", "th") else {"dt", "dd"}
                       if tag in ("dt", "dd") else {tag}, {"ul", "ol", "dl", "table", "select"})
-        if tag not in _VOID and not m.group(4).rstrip().endswith("/"):
-            attributes = m.group(4)
+        if tag not in _VOID and not empty:
             stack.append((tag, tuple("." + n for n in _names(attributes)) if "=" in attributes
                           else ()))
     add(page[at:])
