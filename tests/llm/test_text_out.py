@@ -1,6 +1,7 @@
 """Fingerprints, pieces, packing, pages and vectors."""
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -52,6 +53,15 @@ def test_units_are_the_tokenizer_s_ids():
         assert units.encode(text) == np.array(ids, "<u4").tobytes()
 
 
+def test_units_in_mixed_white_space():
+    units = packing.encoder(BPE)
+    mixed = ["a \u00a0 \u00a0 b", "a\u00a0 ", " \u00a0 \u00a0 \u00a0 \u00a0 x", "a\n \u00a0b"]
+    for text in mixed + ["".join(c) for n in range(1, 6)
+                         for c in itertools.product("a \n.\u00a0\u3000", repeat=n)]:
+        ids = units.tokenizer.encode(text, add_special_tokens=False).ids
+        assert units.encode(text) == np.array(ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("length, parts", [(1024, 3), (64, 9)])
 def test_packing(documents, monkeypatch, length, parts):
     monkeypatch.setattr(packing, "FAN_IN", 2)  # several rounds of leftovers
@@ -130,16 +140,6 @@ def test_blocks_and_rule():
     assert html_text.blocks(None) == [] and html_text.blocks("<!-- open") == []
 
 
-def test_pages(spark):
-    import duckdb
-
-    html = [r[0] for r in duckdb.sql(
-        "SELECT html FROM '/root/testdata/sf0.001/pages.parquet' ORDER BY page_id").fetchall()]
-    rows = [(i, "u", p) for i, p in enumerate([*html, PAGE, None, "", html[0]])]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
-        "text", F.lit(1))
-    out = html_text.extract(pages, html_text.fit(pages)).orderBy("page_id").collect()
-    want = ["\n\n".join(b.text for b in html_text.blocks(p) if html_text.rule(b))
 @pytest.mark.parametrize("between", [
     '<svg width="1"/>', '<math/>', '<svg><path d="M0"></svg>', '<svg><path d="M0">',
     '<svg><title>t</title><style/></svg>', '<svg><title/>', '<svg><script>1<2</script></svg>',
@@ -163,6 +163,16 @@ def test_text_of_embedded_elements_stays(inner, text):
     assert [b.text for b in read if html_text.rule(b)] == [text]
 
 
+def test_pages(spark):
+    import duckdb
+
+    html = [r[0] for r in duckdb.sql(
+        "SELECT html FROM '/root/testdata/sf0.001/pages.parquet' ORDER BY page_id").fetchall()]
+    rows = [(i, "u", p) for i, p in enumerate([*html, PAGE, None, "", html[0]])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
+        "text", F.lit(1))
+    out = html_text.extract(pages, html_text.fit(pages)).orderBy("page_id").collect()
+    want = ["\n\n".join(b.text for b in html_text.blocks(p) if html_text.rule(b))
             for _, _, p in rows]
     assert np.mean([r["text"] == w for r, w in zip(out, want)]) > 0.95
     assert out[0]["text"] == out[-1]["text"] and out[-3]["text"] == out[-2]["text"] == ""

@@ -18,6 +18,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ OPEN_WINDOWS = 16
 FAN_IN = 64
 END_ID = 0
 _CACHE_WORDS = 1_000_000
+_INSIDE_RUN = re.compile(r"(?<=\s) (?=\s|\Z)")
 
 
 class _Alphabet(dict):
@@ -51,8 +53,8 @@ class _Alphabet(dict):
 class _Units(dict):
     """Ids (little-endian, 32 bits) of a space and the characters up to the next space.
 
-    In byte-level BPE a single space begins a pre-token, so such units are encoded alone. Where
-    spaces follow one another they share a pre-token, so those texts are encoded whole.
+    In byte-level BPE a space begins a pre-token, so such units are encoded alone, unless it stands
+    inside a run of white space, which is one pre-token: those texts are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -93,7 +95,7 @@ class _Units(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as the tokenizer gives them without added special tokens."""
-        if any(s in text for s in self.whole):
+        if any(s in text for s in self.whole) or _INSIDE_RUN.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
         first, *rest = text.split(" ")
