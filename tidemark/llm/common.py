@@ -57,11 +57,16 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def least_text(text: Column) -> Column:
+    """Of the texts of a group, the one with the least hash, found with partial aggregation."""
+    return F.min(F.struct(F.xxhash64(text).alias("hash"), text.alias("text")))["text"]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """(text, label) of at most `max_rows` labelled documents outside the held-out fold.
 
-    Rows are taken in the order of a hash of the id, so the sample is the same in each run
-    and does not depend on how the tables are laid out.
+    Ids are taken in the order of a hash, and of a repeated id the text whose hash is least, so
+    the sample is the same in each run and does not depend on how the tables are laid out.
     """
     picked = (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -71,7 +76,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
+    one = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        least_text(F.col("text")).alias("text"), F.max("label").alias("label"))
+    return one.select("doc_id", "text", "label")
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20,

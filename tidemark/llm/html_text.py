@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices
+from tidemark.llm.common import in_slices, least_text
 
 SAMPLE_PAGES = 384  # bound of the pages a model is fitted on
 PATH, WORDS, NUMBERS, HIDDEN = 256, 24, 6, 16
@@ -407,13 +407,17 @@ def train(pages: list[str]) -> Lstm:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
         max_rows: int = SAMPLE_PAGES) -> Lstm:
-    """Fits on at most `max_rows` pages, the first ones in the order of a hash of their ids."""
+    """Fits on at most `max_rows` pages, the first ones in the order of a hash of their ids.
+
+    A repeated id gives one page, that of the least hash.
+    """
     key, text = F.col(f"`{id_col}`"), F.col(f"`{html_col}`")
     place = F.xxhash64(key.cast("string"))
     picked = (pages.select(place.alias("place"), key.alias("key")).where(key.isNotNull())
               .distinct().orderBy("place", "key").limit(max_rows).select("key"))
     sample = pages.select(key.alias("key"), F.coalesce(text, F.lit("")).alias("html")).join(
-        F.broadcast(picked), "key").select("html")
+        F.broadcast(picked), "key").groupBy("key").agg(
+            least_text(F.col("html")).alias("html")).select("html")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [p for b in batches for p in b.column("html").to_pylist()]
