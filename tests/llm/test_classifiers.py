@@ -65,6 +65,19 @@ def test_windows_keep_every_word_whole():
     assert all(f" word{chr(97)}" or w in seen for w in toxicity.words_of(text).split())
 
 
+def test_long_words_are_whole_in_a_window():
+    rng = np.random.default_rng(6)
+    for letters in ("abcdefgh", "абвгдежз", "あいうえお", "a"):
+        words = ["".join(rng.choice(list(letters), n)) for n in rng.integers(1, 42, 600)]
+        made = toxicity.windows(" ".join(words))
+        assert all(any(w.encode() in one for one in made) for w in words)
+        assert max(map(len, made)) <= toxicity.WINDOW
+    long = "".join(rng.choice(list("abcdefgh"), 3000))
+    made = toxicity.windows(f"one {long} two")
+    assert all(any(long[i : i + 64].encode() in one for one in made) for i in range(2936))
+    assert made[-1].endswith(b" two ") and toxicity.windows(None) == [b"  "]
+
+
 def test_awkward_rows(spark, documents):
     docs = documents(AWKWARD)
     weights = np.zeros(1 << quality.BITS, np.float32)

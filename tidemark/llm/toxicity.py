@@ -47,11 +47,16 @@ def words_of(text: str | None) -> str:
 
 
 def windows(text: str | None) -> list[bytes]:
-    """Windows of WINDOW bytes; each but the first starts with the end of the one before, so
-    that a word cut at a border is whole in one of them."""
+    """Windows of WINDOW bytes; each but the first starts at the last space of the one before, so
+    that a word cut at a border is whole in the next. Windows within a word that no window holds
+    overlap by half."""
     data = words_of(text).encode()
-    step = WINDOW - 12
-    return [data[i : i + WINDOW] for i in range(0, max(1, len(data) - 12), step)]
+    out, start = [data[:WINDOW]], 0
+    while (end := start + WINDOW) < len(data):
+        space = data.rfind(b" ", start + 1, end + 1)
+        start = space if space > 0 else start + WINDOW // 2
+        out.append(data[start : start + WINDOW])
+    return out
 
 
 def distinct_words(texts: list[str], labels: list[int], least: float = 40.0) -> set[str]:
