@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = entry_module.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLE))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    filter_audit,
     fingerprint,
     html_text,
     jaccard_join,
@@ -16,6 +17,8 @@ from tidemark.llm import (
     pieces,
     quality,
     rp_forest,
+    simhash,
+    spelling,
     suffix_dedup,
     toxicity,
 )
@@ -160,3 +163,67 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every vector whose id is divisible by 100."""
     return rp_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, by language."""
+    return filter_audit.interactions(table(spark, sf_dir, "documents"),
+                                     table(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents
+), words AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+           min(doc_id) OVER (PARTITION BY text) AS least FROM docs
+), known AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+    FROM labels GROUP BY doc_id
+), flags AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           [len(w) < 100,
+            100 * len(list_distinct(w)) < 80 * len(w),
+            100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+            regexp_matches(text, '[#$%&*|]'),
+            least IS NOT NULL AND (words.doc_id IS NULL OR words.doc_id > least)] AS f
+    FROM words LEFT JOIN known ON known.doc_id = words.doc_id
+), sets AS (
+    SELECT part, good, toxic, f, count(*) AS n FROM flags GROUP BY ALL
+), letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i
+), orders AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (
+    SELECT o, s.i AS step, o[s.i] AS own, o[1:s.i - 1] AS before FROM orders, letters s
+), seen AS (
+    SELECT part, good, toxic, n, f, step, own, f[own] AS fails,
+           array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_order,
+           len([x FOR x IN before IF f[x]]) > 0 AS gone, len([x FOR x IN f IF x]) AS failures
+    FROM sets, steps
+)
+SELECT part, filter_order, step::INTEGER AS step,
+       sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN fails AND failures = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN fails AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN fails AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost,
+       sum(CASE WHEN fails THEN n * 120 // failures ELSE 0 END)::BIGINT AS shapley
+FROM seen GROUP BY part, filter_order, step
+"""
