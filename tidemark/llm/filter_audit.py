@@ -43,7 +43,7 @@ LEAST_DISTINCT = 80  # percent of the words
 MOST_CAPITALS = 10  # percent of the code points
 MARKS = "#$%&*|"
 HELD_BYTES = 32 << 20  # of text in the trie of a task that reads documents
-RANGE_BYTES = 16 << 20  # of text by range
+RANGE_BYTES = 16 << 20  # of text by range, at most
 DEPTH = 1024  # bytes of a text that bounds compare
 SAMPLE = 1 << 14  # texts that bounds are made from
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
@@ -138,21 +138,24 @@ class Ranges:
         self.bounds, self.parts = bounds, parts
 
     @staticmethod
-    def made(sample: list[tuple[bytes, int]], total_bytes: int) -> Ranges:
-        """Of (first DEPTH bytes, size of the text) of some texts, and the size of all texts."""
+    def made(sample: list[tuple[bytes, int]], total_bytes: int, most: float) -> Ranges:
+        """Of (first DEPTH bytes, size of the texts) of some texts, and the size of all texts.
+
+        A range is meant to hold `most` bytes, and a part of one that cannot be cut twice as many.
+        """
         sample = sorted(sample)
         share = total_bytes / max(1, sum(size for _, size in sample))
         bounds: list[bytes] = []
         held, sizes = 0.0, []
         for (before, _), (text, size) in zip([(b"", 0), *sample], sample):
-            if held >= RANGE_BYTES and text != before:
+            if held >= most and text != before:
                 same = _common(text, 0, before, min(len(text), len(before)))
                 bounds.append(text[: same + 1])
                 sizes.append(held)
                 held = 0.0
             held += size * share
         sizes.append(held)
-        return Ranges(bounds, [max(1, math.ceil(size / (4 * RANGE_BYTES))) for size in sizes])
+        return Ranges(bounds, [max(1, math.ceil(size / (2 * most))) for size in sizes])
 
     def of(self, text: bytes) -> tuple[int, int]:
         number = bisect.bisect_right(self.bounds, text[:DEPTH])
@@ -168,7 +171,9 @@ def ranges(texts: DataFrame) -> Ranges:
     distinct = some.groupBy(F.substring("text", 1, DEPTH).alias("head"), F.xxhash64("text")).agg(
         F.max(size).alias("size"))
     heads = distinct.groupBy("head").agg(F.sum("size").alias("size")).collect()
-    return Ranges.made([(bytes(r["head"]), r["size"]) for r in heads], about["size"] or 0)
+    total = about["size"] or 0
+    most = min(RANGE_BYTES, total / (2 * tasks(texts.sparkSession)))  # no task without a range
+    return Ranges.made([(bytes(r["head"]), r["size"]) for r in heads], total, max(most, 1))
 
 
 _SENT = pa.schema([("number", pa.int32()), ("piece", pa.int32()), ("text", pa.binary()),
