@@ -20,11 +20,6 @@ def new_run_id(started_at: dt.datetime, invocation_id: str | None = None) -> str
     return f"{started_at.astimezone(dt.timezone.utc):%Y%m%dT%H%M%SZ}-{suffix}"
 
 
-def _records(frames: dict[str, DataFrame]) -> dict[str, int]:
-    """Rows per written copy. Parquet copies are counted from their footers."""
-    return {r.artifact: r.records for r in snapshots.record_counts(frames).collect()}
-
-
 def _second(now: dt.datetime) -> dt.datetime:
     return now.astimezone(dt.timezone.utc).replace(microsecond=0)
 
@@ -96,31 +91,33 @@ def in_window(
 
 
 def _build(spark, org_raw, user_raw, root, owner, source, run_id, fmt, keep_raw) -> dict:
-    raw, raw_places = {"org_metrics": org_raw, "user_metrics": user_raw}, {}
+    """Write raw copies and views; the counts are those of the writes themselves."""
+    kept = {}
     if keep_raw:
-        raw_places = snapshots.publish(raw, root, owner, source, run_id, kind="raw", fmt="json")
-        # one line per row in the written copies
-        raw = {n: spark.read.text(p["history"]) for n, p in raw_places.items()}
-
-    def publish(name, df):
-        return snapshots.publish({name: df}, root, owner, source, run_id, fmt=fmt)
-
-    def written(name):
-        return snapshots.read_path(spark, name, places[name]["history"], fmt)
-
-    places = {
-        **publish("daily_summary", views.daily_summary(org_raw)),
-        **publish("language_summary", views.language_summary(org_raw)),
-        **publish("user_daily_summary", views.user_daily_summary(user_raw)),
+        reports = {"org_metrics": org_raw, "user_metrics": user_raw}
+        kept = {name: snapshots.stage(name, df, root, owner, source, run_id, "raw", "json")
+                for name, df in reports.items()}
+    staged = {
+        name: snapshots.stage(name, df, root, owner, source, run_id, fmt=fmt)
+        for name, df in {
+            "daily_summary": views.daily_summary(org_raw),
+            "language_summary": views.language_summary(org_raw),
+            "user_daily_summary": views.user_daily_summary(user_raw),
+        }.items()
     }
     if {"day", "user_login"} <= set(user_raw.columns):
-        totals = views.user_summary(written("user_daily_summary"))
+        folder = staged["user_daily_summary"].table.parts[""].path
+        place = f"{snapshots.log_root(root, 'views', owner, source)}/{folder}"
+        totals = views.user_summary(
+            snapshots.read_path(spark, "user_daily_summary", place, fmt))
     else:  # the totals need no day, the user-day view does
         totals = views.user_summary(user_raw)
-    places |= publish("user_summary", totals)
+    staged["user_summary"] = snapshots.stage(
+        "user_summary", totals, root, owner, source, run_id, fmt=fmt)
     return {
-        "raw_records": _records(raw),
-        "snapshot_records": _records({name: written(name) for name in places}),
-        "raw_places": raw_places,
-        "snapshot_places": places,
+        "raw_records": {name: w.rows for name, w in kept.items()},
+        "snapshot_records": {name: w.rows for name, w in staged.items()},
+        "raw_places": snapshots.switch(spark, kept, root, owner, source, run_id, "raw")
+        if kept else {},
+        "snapshot_places": snapshots.switch(spark, staged, root, owner, source, run_id),
     }

@@ -528,6 +528,10 @@ SELECT * EXCLUDE ({AGENT_EDIT}, {FLAG_AGENT}),
   CASE WHEN day >= '2024-01-16' THEN {AGENT_EDIT} END AS {AGENT_EDIT},
   CASE WHEN day >= '2024-01-16' THEN {FLAG_AGENT} END AS {FLAG_AGENT} FROM ud""")
 put("history_latest", _UD, "SELECT * FROM ud")
+put("pinned_version", _UD, f"""
+SELECT day, count(*) AS user_days, CAST(sum({ACTIVE_USERS}) AS BIGINT) AS {ACTIVE_USERS}, version
+FROM ud, (VALUES (1), (2)) AS v (version)
+WHERE version = 2 OR day < '2024-01-10' GROUP BY day, version""")
 put("snapshot_read", _LANG, "SELECT * FROM lang")
 put("view_documents", _ALL, " UNION ALL ".join(
     f"""SELECT '{prefix}:{n}' AS id, 'dashboard-view' AS document_type, 'mock' AS organization,

@@ -556,6 +556,23 @@ def history_latest(spark, sf):
     return snapshots.read_view(spark, "user_daily_summary", [root], "mock", "events")
 
 
+@query
+def pinned_version(spark, sf):
+    """Users by day of a version that a reader holds while the next run is published."""
+    root = scratch.fresh_dir(spark, "views")
+    whole = _views(spark, sf)
+    early = {n: whole[n].where("day < '2024-01-10'") for n in ("user_daily_summary", "daily_summary")}
+    snapshots.publish(early, root, "mock", "events", "run-1")
+    held = snapshots.latest(spark, [root], "mock", "events")
+    snapshots.publish({n: whole[n] for n in early}, root, "mock", "events", "run-2")
+    new = snapshots.latest(spark, [root], "mock", "events")
+    counted = [
+        version.read("user_daily_summary").groupBy("day").agg(F.count("*").alias("user_days"))
+        .join(version.read("daily_summary").select("day", ACTIVE_USERS), "day")
+        .withColumn("version", F.lit(version.version.number)) for version in (held, new)]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def snapshot_read(spark, sf):
     """The first root has no copy, so the second one serves the view."""

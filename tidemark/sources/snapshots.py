@@ -1,44 +1,61 @@
-"""Published views: history and latest copies, documents, and reading them back."""
+"""Published views: history of the runs, the latest copies that readers see, and documents.
+
+A run writes each view once, below its own history folder. The latest copies are no files of their
+own: a version of the log at ``{root}/{kind}/org=../source=..`` names the folders of the last run,
+for all its views at once, so a reader never meets views of two runs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fields import RAW_TABLES, VIEW_SCHEMAS, VIEWS
 from ..operators.views import sort_view
+from .manifest import Log, Snapshot, Written
 
 # Views with a day column are laid out by day, so a window reads only its days.
 _BY_DAY = {"daily_summary", "user_daily_summary", "language_summary"}
 
 
-def history_path(root: str, kind: str, org: str, source: str, run: str, name: str) -> str:
-    return f"{root}/{kind}/org={org}/source={source}/runs/run_id={run}/{name}"
-
+def log_root(root: str, kind: str, org: str, source: str) -> str:
+    """Versions are kept per organization and source, so none replaces another's."""
+    return f"{root}/{kind}/org={org}/source={source}"
 
-def latest_path(root: str, kind: str, org: str, source: str, name: str) -> str:
-    """Latest copies are kept per organization and source, so none replaces another's."""
-    return f"{root}/{kind}/org={org}/source={source}/latest/{name}"
 
-
-def _write(df: DataFrame, path: str, fmt: str, by_day: bool) -> None:
-    if not df.columns:  # an empty report has no fields; its copy is an empty file
-        empty = df.sparkSession.createDataFrame([], "value string")
-        empty.write.mode("overwrite").text(path)
-        return
-    by_day = by_day and fmt == "parquet"
-    if by_day:
-        # Even files per day: big days are split over tasks, small ones share one.
-        df = df.hint("rebalance", F.col("day"))
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", "false")
-    if by_day:
-        writer = writer.partitionBy("day")
-    writer.save(path)
+def history_path(root: str, kind: str, org: str, source: str, run: str, name: str) -> str:
+    return f"{log_root(root, kind, org, source)}/runs/run_id={run}/{name}"
+
+
+def stage(
+    name: str, df: DataFrame, root: str, org: str, source: str, run: str,
+    kind: str = "views", fmt: str = "parquet",
+) -> Written:
+    """Write one frame to the run's history; readers do not see it before :func:`switch`."""
+    if name not in (RAW_TABLES if kind == "raw" else VIEWS):
+        raise ValueError(f"unknown {kind} table: {name}")
+    by_day = fmt == "parquet" and (name in _BY_DAY or kind == "raw") and "day" in df.columns
+    if fmt == "json" and kind == "views":
+        df = sort_view(df, name)
+    log = Log(df.sparkSession, log_root(root, kind, org, source))
+    return log.write(df, name, fmt=fmt, layout="day" if by_day else None,
+                     folder=f"runs/run_id={run}/{name}")
+
+
+def switch(
+    spark: SparkSession, staged: Mapping[str, Written], root: str, org: str, source: str, run: str,
+    kind: str = "views",
+) -> dict[str, dict[str, str]]:
+    """Make staged frames the latest copies, all at once; gives the places of both."""
+    log = Log(spark, log_root(root, kind, org, source))
+    version = log.commit(lambda _: {name: w.table for name, w in staged.items()}, run)
+    return {
+        name: {"history": f"{log.root}/{w.table.parts[''].path}",
+               "latest": f"{log.root}#{version.number}"}
+        for name, w in staged.items()
+    }
 
 
 def publish(
@@ -50,38 +67,17 @@ def publish(
     kind: str = "views",
     fmt: str = "parquet",
 ) -> dict[str, dict[str, str]]:
-    """Write each frame to the run's history, then renew the latest copy from it.
+    """Write each frame to the run's history, then switch all latest copies to them.
 
-    History comes first: a run that fails before all of it is written leaves the
-    latest copies alone. These are made from the written files, so a frame is
-    evaluated once.
+    Publishing only adds files. A run that fails before all are written changes nothing that
+    readers see.
     """
-    allowed = RAW_TABLES if kind == "raw" else VIEWS
-    written = {}
     for name in frames:
-        if name not in allowed:
+        if name not in (RAW_TABLES if kind == "raw" else VIEWS):
             raise ValueError(f"unknown {kind} table: {name}")
-    for name, df in frames.items():
-        by_day = name in _BY_DAY or kind == "raw"
-        path = history_path(root, kind, org, source, run, name)
-        if fmt == "json" and kind == "views":
-            df = sort_view(df, name)
-        _write(df, path, fmt, by_day and "day" in df.columns)
-        written[name] = {"history": path}
-    for name, df in frames.items():
-        path = latest_path(root, kind, org, source, name)
-        by_day = (name in _BY_DAY or kind == "raw") and "day" in df.columns
-        history = written[name]["history"]
-        if kind == "raw" and fmt == "json":
-            df.sparkSession.read.text(history).write.mode("overwrite").text(path)
-        else:
-            copy = df.sparkSession.read.schema(df.schema).format(fmt).load(history)
-            copy = copy.select(*df.columns)
-            if fmt == "json":
-                copy = sort_view(copy, name)
-            _write(copy, path, fmt, by_day)
-        written[name]["latest"] = path
-    return written
+    staged = {n: stage(n, df, root, org, source, run, kind, fmt) for n, df in frames.items()}
+    spark = next(iter(frames.values())).sparkSession
+    return switch(spark, staged, root, org, source, run, kind)
 
 
 def read_path(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
@@ -90,25 +86,43 @@ def read_path(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -
     return spark.read.schema(schema).format(fmt).load(path).select(*schema.names)
 
 
+def latest(
+    spark: SparkSession, roots: Sequence[str], org: str, source: str, kind: str = "views",
+    number: int | None = None,
+) -> Snapshot:
+    """The latest copies of all views as of now (or of one version), from the first root with any.
+
+    Views read from the result belong together, whatever is published meanwhile.
+    """
+    for root in roots:
+        found = Log(spark, log_root(root, kind, org, source)).open(number)
+        if found is not None:
+            return found
+    raise FileNotFoundError(f"no {kind} of {org}, {source} have been published yet")
+
+
 def read_view(
     spark: SparkSession,
     name: str,
     roots: Sequence[str],
     org: str,
     source: str,
-    fmt: str = "parquet",
+    fmt: str | None = None,
 ) -> DataFrame:
-    """The latest copy of a known view, from the first root that has one."""
+    """The latest copy of a known view, from the first root that has one.
+
+    The version knows the format; one that is given must be the same.
+    """
     if name not in VIEWS:
         raise ValueError(f"unknown view: {name}")
     for root in roots:
-        path = latest_path(root, "views", org, source, name)
-        try:
-            return read_path(spark, name, path, fmt)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
+        found = Log(spark, log_root(root, "views", org, source)).open()
+        if found is None or name not in found:
+            continue
+        table = found.version.tables[name]
+        if fmt not in (None, table.format):
+            raise ValueError(f"{name} is stored as {table.format}, not {fmt}")
+        return found.read(name, schema=VIEW_SCHEMAS[name])
     raise FileNotFoundError(f"{name} has not been published yet")
 
 
