@@ -1,10 +1,14 @@
 """Weights, integer apportionment, classification, scores and calendar phases.
 
-Groups may be of any size. Group sizes are counted first (map-side combined).
-Groups up to ``window_rows`` rows are handled by a window per group. The rows of
-larger groups stay spread over the cluster and take their group's totals from a
-joined frame with one row per large group. Sums of weights are decimals, which do
-not depend on the order of rows, so both ways give the same shares to the last bit.
+Groups may be of any size. All rows take the same way: one shuffle by group and cell, and windows
+over these. A group with more than 1/``SHARE`` of all rows, of which there are fewer than ``SHARE``,
+is cut into cells, ordered by rank and each about 1/``CUTS`` of all rows; its totals and the rows
+before each cell come by broadcast, as they are few. Other groups are one cell. Nothing runs while
+the plan is made.
+
+Sums of weights are whole numbers: each weight is scaled by the largest exponent of its group, a
+power of two, and cut into limbs of ``BITS`` bits. So they are exact to 2**-104 of the largest
+weight, do not depend on the order of rows, and weights may have any scale.
 """
 
 from __future__ import annotations
@@ -19,67 +23,142 @@ from pyspark.sql import functions as F
 from ..fields import (
     AGENT_PHASES, BASELINE_PHASE, CHAT_LANGUAGES, DEFAULT_FEATURE, INFRA_LANGUAGES, PHASE_BANDS,
 )
-from ..functions.scalars import active_review_signal, agent_signal, passive_review_signal
-from ..sources.scratch import stored
+from ..functions.scalars import (
+    active_review_signal, agent_signal, finite_number, passive_review_signal,
+)
+
+SHARE = 1024
+CUTS = 1024  # over all large groups
+_BLOCK = 32  # cuts compared at a time
+BITS, _LIMBS = 26, ("_limb0", "_limb1", "_limb2", "_limb3")  # sums hold 2**35 rows of a group
+
+
+def _exponent(weight: Column) -> Column:
+    """Of the largest power of two below a weight (or one off); null for zero."""
+    return F.when(weight != 0, F.floor(F.log2(F.abs(weight))).cast("int"))
+
+
+def _scaled(weight: Column, exponent: Column) -> Column:
+    """The weight over a power of two; in two steps, as that may be no double."""
+    half = F.floor(exponent / 2)
+    return weight * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent)
+
+
+def _limbs(scaled: Column) -> list[Column]:
+    """Whole numbers of ``BITS`` bits, highest first, with the sign of the weight."""
+    left, out = F.abs(scaled), []
+    for _ in _LIMBS:
+        left = left * float(1 << BITS)
+        out.append((F.signum(scaled) * F.floor(left)).cast("bigint"))
+        left = left - F.floor(left)
+    return out
+
+
+def _sum_of_limbs(limbs: Sequence[Column]) -> Column:
+    """The sum as a double, scaled like the weights."""
+    carry, lower = F.lit(0).cast("bigint"), F.lit(0.0)
+    for limb in reversed(limbs[1:]):
+        whole = limb + carry
+        lower = (whole.bitwiseAND(F.lit((1 << BITS) - 1)) + lower) / float(1 << BITS)
+        carry = F.shiftright(whole, BITS)
+    return (limbs[0] + carry + lower) / float(1 << BITS)
+
+
+def _share(scaled: Column, total: Column, n: Column) -> Column:
+    return F.when(total > 0, scaled / total).otherwise(F.lit(1.0) / n)
 
-WINDOW_ROWS = 100_000
-# Up to so many large groups their totals are broadcast; beyond, rows are salted.
-BROADCAST_GROUPS = 10_000
-_SALTS = 32
-_CUTS = 200
 
+def _with(rows: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Add the columns of a few rows, at most one for each key; null is a key like any other."""
+    named = {k: f"_of_{i}" for i, k in enumerate(keys)}
+    few = few.withColumnsRenamed(named)
+    same = reduce(and_, [rows[k].eqNullSafe(few[n]) for k, n in named.items()])
+    return rows.join(F.broadcast(few), same, how).drop(*named.values())
 
-class _Hot:
-    """The large groups of a frame, one row each with the group's totals."""
 
-    def __init__(self, rows: DataFrame, group: Sequence[str], spread: str, small: bool):
-        self.rows, self.group, self.spread, self.small = rows, list(group), spread, small
+class _Large:
+    """The groups with more than 1/SHARE of the rows, and what their rows need to know of them."""
 
-    def join(self, items: DataFrame, totals: DataFrame | None = None, how: str = "inner"):
-        """Join items to one row per large group without gathering a group in one task.
+    def __init__(self, rows: DataFrame, group: Sequence[str], position: str):
+        self.rows, self.group, self.position = rows, list(group), position
+        weighed = [F.max(_exponent(F.col("_w"))).alias("_e")] if "_w" in rows.columns else []
+        sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *weighed)
+        self.all_rows = sizes.agg(F.sum("_n")).scalar()
+        self.known = sizes.where(F.col("_n") * SHARE > self.all_rows)
 
-        A null key is a key like any other.
+    def own_rows(self) -> DataFrame:
+        return _with(self.rows, self.known, self.group, "inner")
+
+    def add_sums(self) -> None:
+        """``_s``, the scaled sum of weights."""
+        limbs = _limbs(_scaled(F.col("_w"), F.coalesce("_e", F.lit(0))))
+        sums = self.own_rows().groupBy(*self.group).agg(
+            *[F.sum(limb).alias(name) for limb, name in zip(limbs, _LIMBS)])
+        total = _sum_of_limbs([F.col(name) for name in _LIMBS])
+        self._add(sums.select(*self.group, total.alias("_s")))
+
+    def add_cuts(self, parts) -> None:
+        """``_left``, what remains after the floors, and ``_cuts``, keys between the cells.
+
+        A key is a cut if a hash of its position says so: the same in each evaluation.
         """
-        totals = self.rows if totals is None else totals
-        named = {g: f"_group_{i}" for i, g in enumerate(self.group)}
-        totals = totals.withColumnsRenamed(named)
-        same = reduce(and_, [items[g].eqNullSafe(totals[n]) for g, n in named.items()])
-        if self.small:
-            return items.join(F.broadcast(totals), same, how).drop(*named.values())
-        copies = totals.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        salt = F.pmod(F.xxhash64(self.spread), F.lit(_SALTS)).cast("int")
-        same = reduce(and_, [items[g].eqNullSafe(copies[n]) for g, n in named.items()])
-        joined = items.join(copies, same & (salt == copies["_copy"]), how)
-        return joined.drop("_copy", *named.values())
-
-
-def _large_groups(
-    items: DataFrame, group: Sequence[str], spread: str, window_rows: int, stats: Sequence[Column]
-) -> _Hot | None:
-    """Find the groups beyond ``window_rows`` rows; none is the usual answer.
-
-    Runs a job. What it brings to the driver is limited to the number of groups
-    that may be broadcast; if there are more, they stay a distributed frame.
-    """
-    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *stats)
-    large = sizes.where(F.col("_n") > window_rows)
-    found = large.limit(BROADCAST_GROUPS + 1).collect()
-    if not found:
-        return None
-    if len(found) > BROADCAST_GROUPS:
-        return _Hot(large, group, spread, False)
-    rows = items.sparkSession.createDataFrame([tuple(r) for r in found], large.schema)
-    return _Hot(rows, group, spread, True)
+        chosen = F.pmod(F.xxhash64(self.position), self.all_rows) < CUTS
+        rows = parts(self.own_rows()).withColumn("_cut", F.when(chosen, _key(self.position)))
+        cuts = F.sort_array(F.collect_list("_cut"))
+        self._add(rows.groupBy(*self.group).agg(
+            (F.max("_total") - F.sum("_base")).alias("_left"), cuts.alias("_cuts")))
+
+    def _add(self, found: DataFrame) -> None:
+        self.known = _with(self.known, found, self.group, "inner")
+
+    def rows_before(self, parts) -> DataFrame:
+        """Rows of earlier cells, for each group and cell."""
+        before = Window.partitionBy(*self.group).orderBy("_cell").rowsBetween(
+            Window.unboundedPreceding, -1)
+        rows = parts(self.own_rows()).withColumn("_cell", _cell(self.position))
+        cells = rows.groupBy(*self.group, "_cell").agg(F.count(F.lit(1)).alias("_size"))
+        return cells.select(*self.group, "_cell",
+                            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+
+
+def _key(position: str) -> Column:
+    """Largest fraction first, then the smaller position."""
+    return F.struct((-F.col("_frac")).alias("a"), F.col(position).alias("b"))
+
+
+def _cell(position: str) -> Column:
+    """How many cuts a row has passed: first in steps of a block, then within one; 0 without."""
+    cuts, key = F.col("_cuts"), _key(position)
+    heads = F.transform(F.sequence(F.lit(1), F.size(cuts), F.lit(_BLOCK)),
+                        lambda i: F.element_at(cuts, i.cast("int")))
+    blocks = F.size(F.filter(heads, lambda cut: cut <= key))
+    block = F.slice(cuts, (blocks - 1) * _BLOCK + 1, F.lit(_BLOCK))
+    inside = F.size(F.filter(block, lambda cut: cut <= key))
+    passed = F.when(blocks > 0, (blocks - 1) * _BLOCK + inside).otherwise(F.lit(0))
+    return F.when(F.size(cuts) > 0, passed).otherwise(F.lit(0)).cast("int")
+
+
+def _weighed(items: DataFrame, weight: str, boost: Column | None) -> DataFrame:
+    """``_w``: the boosted weight; null, NaN and infinite ones count as zero."""
+    base = F.col(weight).cast("double")
+    boosted = base if boost is None else base * F.coalesce(boost, F.lit(1.0))
+    return items.withColumn("_w", finite_number(boosted))
 
 
-def _total(weight: str) -> Column:
-    """Sum of weights, counted to 12 decimals; the same in any order of rows."""
-    return F.sum(F.col(weight).cast("decimal(38,12)"))
+def _with_shares(rows: DataFrame, cell: Window) -> DataFrame:
+    """``share`` from the group's known sum, or else from the rows of the cell, its whole group."""
+    largest = F.max(_exponent(F.col("_w"))).over(cell)
+    exponent = F.coalesce("_e", largest, F.lit(0))
+    rows = rows.withColumn("_x", _scaled(F.col("_w"), exponent))
+    rows = rows.withColumns(dict(zip(_LIMBS, _limbs(F.col("_x")))))
+    total = _sum_of_limbs([F.sum(name).over(cell) for name in _LIMBS])
+    n = F.coalesce("_n", F.count(F.lit(1)).over(cell))
+    rows = rows.withColumns({"_s": F.coalesce("_s", total), "_n": n})
+    return rows.withColumn("share", _share(F.col("_x"), F.col("_s"), F.col("_n")))
 
 
-def _share(weight: Column, total: Column, n: Column) -> Column:
-    total = total.cast("double")
-    return F.when(total > 0, weight / total).otherwise(F.lit(1.0) / n)
+_HELPERS = ["_w", "_x", "_e", "_s", "_n", "_cell", "_cuts", "_left", "_before", "_base", "_frac",
+            "_total", *_LIMBS]
 
 
 def normalised_weights(
@@ -88,31 +167,18 @@ def normalised_weights(
     weight: str,
     position: str,
     boost: Column | None = None,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Add ``share``: boosted weight over the group's sum, equal if that is not positive."""
-    rows = items.withColumn("_w", _boosted(weight, boost))
-    hot = _large_groups(rows, group, position, window_rows, [_total("_w").alias("_sum")])
-    return _with_shares(rows, hot, group).drop("_w")
-
+    """Add ``share``: boosted weight over the group's sum, equal if that is not positive.
 
-def _boosted(weight: str, boost: Column | None) -> Column:
-    base = F.col(weight).cast("double")
-    return base if boost is None else base * F.coalesce(boost, F.lit(1.0))
-
-
-def _with_shares(rows: DataFrame, hot: _Hot | None, group: Sequence[str]) -> DataFrame:
-    g = Window.partitionBy(*group)
-    small = rows if hot is None else hot.join(rows, how="left_anti")
-    small = small.withColumn(
-        "share", _share(F.col("_w"), _total("_w").over(g), F.count(F.lit(1)).over(g))
-    )
-    if hot is None:
-        return small
-    large = hot.join(rows).withColumn(
-        "share", _share(F.col("_w"), F.col("_sum"), F.col("_n"))
-    )
-    return small.unionByName(large.drop("_sum", "_n"))
+    Weights that are null, NaN or infinite count as zero. Negative ones enter the sum.
+    """
+    rows = _weighed(items, weight, boost)
+    large = _Large(rows, group, position)
+    large.add_sums()
+    spread = F.pmod(F.xxhash64(position), F.lit(CUTS))
+    rows = _with(rows, large.known, group).withColumn(
+        "_cell", F.when(F.col("_s").isNotNull(), spread).otherwise(F.lit(0)))
+    return _with_shares(rows, Window.partitionBy(*group, "_cell")).drop(*_HELPERS)
 
 
 def _parts(rows: DataFrame, total: str, share: str) -> DataFrame:
@@ -128,16 +194,6 @@ def _parts(rows: DataFrame, total: str, share: str) -> DataFrame:
     )
 
 
-_HELPERS = ["_base", "_frac", "_total"]
-
-
-def _split_small(rows: DataFrame, group: Sequence[str], position: str, out: str) -> DataFrame:
-    ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
-    left = F.col("_total") - F.sum("_base").over(Window.partitionBy(*group))
-    extra = (F.row_number().over(ranked) <= left).cast("bigint")
-    return rows.withColumn(out, F.col("_base") + extra).drop(*_HELPERS)
-
-
 def apportion(
     items: DataFrame,
     group: Sequence[str],
@@ -145,7 +201,6 @@ def apportion(
     share: str,
     position: str,
     out: str = "allotted",
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Split each group's integer total by shares, largest remainders first.
 
@@ -154,14 +209,14 @@ def apportion(
     the group). A total that is not positive gives zeros. ``total`` is repeated
     on each row of the group.
     """
-    hot = _large_groups(items, group, position, window_rows, [])
-    if hot is None:
-        return _split_small(_parts(items, total, share), group, position, out)
-    small = _parts(hot.join(items, how="left_anti"), total, share)
-    large = _parts(hot.join(items).drop("_n"), total, share)
-    return _split_small(small, group, position, out).unionByName(
-        _split_large(large, hot, group, position, out, window_rows)
-    )
+    def parts(rows: DataFrame) -> DataFrame:
+        return _parts(rows, total, share)
+
+    large = _Large(items, group, position)
+    large.add_cuts(parts)
+    rows = _with(items, large.known, group)
+    rows = parts(rows).withColumn("_cell", _cell(position))
+    return _allotted(_with(rows, large.rows_before(parts), [*group, "_cell"]), group, position, out)
 
 
 def apportion_by_weight(
@@ -172,91 +227,33 @@ def apportion_by_weight(
     position: str,
     boost: Column | None = None,
     out: str = "allotted",
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """:func:`normalised_weights` and :func:`apportion` in one go.
-
-    Ordinary groups then need a single shuffle for both steps.
-    """
-    rows = items.withColumn("_w", _boosted(weight, boost))
-    hot = _large_groups(rows, group, position, window_rows, [_total("_w").alias("_sum")])
-    if hot is None:
-        shares = _with_shares(rows, None, group).drop("_w")
-        return _split_small(_parts(shares, total, "share"), group, position, out)
-    small = _with_shares(hot.join(rows, how="left_anti"), None, group).drop("_w")
-    share = _share(F.col("_w"), F.col("_sum"), F.col("_n"))
-    large = hot.join(rows).withColumn("share", share).drop("_w", "_sum", "_n")
-    return _split_small(_parts(small, total, "share"), group, position, out).unionByName(
-        _split_large(_parts(large, total, "share"), hot, group, position, out, window_rows)
-    )
-
-
-def _split_large(
-    rows: DataFrame, hot: _Hot, group: Sequence[str], position: str, out: str, window_rows: int
-) -> DataFrame:
-    """The same rule for large groups, without ordering a whole group in one task.
-
-    Rows are put into cells that are ordered by rank: between quantiles of the
-    fraction, and where many rows tie on one fraction, by ranges of the position.
-    Cell counts show in which cell the remainder runs out. Cells before it get
-    one each, and only that cell is ranked row by row.
-
-    The rows are read several times, so they are written to the shared folder once
-    instead of being derived again each time.
-    """
-    left = rows.groupBy(*group).agg((F.max("_total") - F.sum("_base")).alias("_left"))
-    rows = hot.join(rows, left)
-    return _rank_large(rows, hot, group, position, out, window_rows).drop("_left", *_HELPERS)
-
-
-def _rank_large(
-    rows: DataFrame, hot: _Hot, group: Sequence[str], position: str, out: str, window_rows: int
-) -> DataFrame:
-    """One more for the first ``_left`` rows of each group; the edge is cut until it is small."""
-    rows = stored(rows, "apportion")
-    quantiles = F.lit([i / _CUTS for i in range(1, _CUTS)])
-    cuts = rows.groupBy(*group).agg(
-        F.percentile_approx("_frac", quantiles, F.lit(50 * _CUTS)).alias("_cuts"))
-    above = F.size(F.filter("_cuts", lambda c: c > F.col("_frac")))
-    tied = F.array_contains("_cuts", F.col("_frac"))
-    span = F.when(tied, F.floor(F.col(position) / window_rows)).otherwise(F.lit(0)).cast("bigint")
-    cell = F.struct(above.alias("a"), tied.alias("t"), span.alias("p"))
-    celled = hot.join(rows, cuts).withColumn("_cell", cell).drop("_cuts")
-
-    # Few rows per group from here: cells of a group, then one row per group.
-    so_far = (
-        Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    cells = (
-        celled.groupBy(*group, "_cell")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_left").alias("_left"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(so_far), F.lit(0)))
-    )
-    last = stored(
-        cells.where(F.col("_before") < F.col("_left"))
-        .groupBy(*group)
-        .agg(F.max_by(F.struct("_cell", "_before", "_rows"), "_before").alias("_last"))
-        .select(*group, F.col("_last._cell").alias("_edge"),
-                F.col("_last._before").alias("_before"), F.col("_last._rows").alias("_size")),
-        "apportion")
-    placed = hot.join(celled, last, "left")
-    on_edge = F.coalesce(F.col("_cell") == F.col("_edge"), F.lit(False))
-    sure = F.coalesce(F.col("_cell") < F.col("_edge"), F.lit(False))
-    helpers = ["_cell", "_edge", "_before", "_size"]
-    settled = placed.where(~on_edge).withColumn(out, F.col("_base") + sure.cast("bigint"))
-    edge = placed.where(on_edge).withColumn("_left", F.col("_left") - F.col("_before"))
-    ranked = Window.partitionBy(*group).orderBy(F.desc("_frac"), F.asc(position))
-    extra = (F.row_number().over(ranked) <= F.col("_left")).cast("bigint")
-    # a tied cell holds at most window_rows positions, others may need another cut
-    wide = (F.col("_size") > window_rows) & ~F.col("_cell.t")
-    more = last.where((F.col("_size") > window_rows) & ~F.col("_edge.t")).limit(1).count()
-    small = edge.where(~wide) if more else edge
-    done = settled.drop(*helpers).unionByName(
-        small.withColumn(out, F.col("_base") + extra).drop(*helpers))
-    if not more:
-        return done
-    again = _rank_large(edge.where(wide).drop(*helpers), hot, group, position, out, window_rows)
-    return done.unionByName(again)
+    """:func:`normalised_weights` and :func:`apportion` in one go, with one shuffle for both."""
+    def parts(rows: DataFrame) -> DataFrame:
+        scaled = _scaled(F.col("_w"), F.coalesce("_e", F.lit(0)))
+        share = _share(scaled, F.col("_s"), F.col("_n"))
+        return _parts(rows.withColumn("share", share), total, "share")
+
+    rows = _weighed(items, weight, boost)
+    large = _Large(rows, group, position)
+    large.add_sums()
+    large.add_cuts(parts)
+    # of the other groups nothing is known yet, so they have no cuts and one cell
+    rows = parts(_with(rows, large.known, group)).withColumn("_cell", _cell(position))
+    rows = _with(rows.drop("share", "_base", "_frac", "_total"), large.rows_before(parts),
+                 [*group, "_cell"])
+    shared = _with_shares(rows, Window.partitionBy(*group, "_cell"))
+    return _allotted(_parts(shared, total, "share"), group, position, out)
+
+
+def _allotted(rows: DataFrame, group: Sequence[str], position: str, out: str) -> DataFrame:
+    """The floors, and one more for the first of each group; rows of other cells come before."""
+    cell = Window.partitionBy(*group, "_cell")
+    left = F.coalesce(F.col("_left"), F.col("_total") - F.sum("_base").over(cell))
+    ranked = F.row_number().over(cell.orderBy(F.desc("_frac"), F.asc(position)))
+    rank = F.coalesce(F.col("_before"), F.lit(0)) + ranked
+    extra = (rank <= left).cast("bigint")
+    return rows.withColumn(out, F.col("_base") + extra).drop(*_HELPERS)
 
 
 def feature_of(language: Column, phase: Column) -> Column:

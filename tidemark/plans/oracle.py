@@ -404,6 +404,8 @@ FROM parts"""
 
 ORACLE["normalised_weights"] = f"WITH {_ITEMS}, {_shares('l_orderkey')} SELECT * FROM shares"
 ORACLE["apportion"] = f"WITH {_ITEMS}, {_apportioned('l_orderkey')}"
+ORACLE["apportion_any_scale"] = f"""WITH {_ITEMS}, {_apportioned('l_orderkey')}""".replace(
+    "SELECT * EXCLUDE (base, frac)", "SELECT * EXCLUDE (base, frac, weight)")
 ORACLE["apportion_large_groups"] = f"""WITH items AS (
   SELECT l_returnflag, l_partkey, sum(l_quantity) AS weight, CAST(1000003 AS BIGINT) AS total
   FROM lineitem GROUP BY l_returnflag, l_partkey), {_apportioned('l_returnflag')}"""

@@ -385,15 +385,26 @@ def apportion(spark, sf):
 
 @query
 def apportion_large_groups(spark, sf):
-    """Three groups with a third of the parts each, far beyond the window size."""
+    """Three groups with a third of the parts each, which are cut into cells."""
     items = spark.read.parquet(f"{sf}/lineitem.parquet")
     parts = items.groupBy("l_returnflag", "l_partkey").agg(F.sum("l_quantity").alias("weight"))
     parts = parts.withColumn("total", F.lit(1_000_003).cast("bigint"))
     return allocate.apportion_by_weight(
-        parts, ["l_returnflag"], "total", "weight", "l_partkey", window_rows=1000
+        parts, ["l_returnflag"], "total", "weight", "l_partkey"
     )
 
 
+@query
+def apportion_any_scale(spark, sf):
+    """The weights of an order scaled by a power of two, from 2**-960 up: the same shares."""
+    items = _order_items(spark, sf)
+    power = (F.col("l_orderkey") % 25 - 12) * 80
+    half = F.pow(F.lit(2.0), power / 2)
+    items = items.withColumn("weight", F.col("weight") * half * half)
+    return allocate.apportion_by_weight(
+        items, ["l_orderkey"], "total", "weight", "l_partkey").drop("weight")
+
+
 @query
 def feature_class(spark, sf):
     ev = model.events(spark, sf)

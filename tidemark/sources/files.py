@@ -1,4 +1,4 @@
-"""The two file operations that readers and writers of frames do not have: put if absent, delete."""
+"""Operations on single small files, which readers and writers of frames do not have."""
 
 from __future__ import annotations
 
@@ -64,6 +64,26 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    target, system = _opened(spark, folder)
+    local = _on_disk(target, system)
+    if local is not None:
+        return sorted(os.listdir(local)) if os.path.isdir(local) else []
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    target, system = _opened(spark, path)
+    local = _on_disk(target, system)
+    if local is None:
+        return spark.read.text(path, wholetext=True).first().value
+    with open(local, encoding="utf-8") as f:
+        return f.read()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or a folder with all in it; one that is gone already is no error."""
     target, system = _opened(spark, path)
