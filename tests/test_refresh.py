@@ -148,4 +148,4 @@ def test_windows_count_listed_days(spark, tmp_path):
     area.refresh()
     got = {r.day: r[AGENT_7D] for r in area.view("org_from_users").collect()}
     assert got == {d: int(i < 7) for i, d in enumerate(listed)}
-    assert spark.read.parquet(f"{area.out}/user_summary").count() == 1
+    assert refresh.user_summary(spark, area.out).count() == 1

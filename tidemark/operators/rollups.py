@@ -211,6 +211,55 @@ def org_daily(
     )
 
 
+def qualifying_cells(predicate: str, before: Column, after: Column) -> Column:
+    """How a user's qualifying days changed, from two sorted arrays of days.
+
+    A cell is a qualifying day with the one that follows it (null at the end). Gives an array of
+    (predicate, day, next, n): n is 1 for cells that are new and -1 for those that are gone.
+    """
+    def cells(days: Column) -> Column:
+        following = F.concat(F.slice(days, 2, F.greatest(F.size(days), F.lit(1))),
+                             F.array(F.lit(None).cast("string")))
+        return F.zip_with(days, F.slice(following, F.lit(1), F.size(days)),
+                          lambda day, later: F.struct(day.alias("day"), later.alias("next")))
+
+    def signed(of: Column, n: int) -> Column:
+        return F.transform(of, lambda c: F.struct(
+            F.lit(predicate).alias("predicate"), c["day"].alias("day"),
+            c["next"].alias("next"), F.lit(n).cast("bigint").alias("n")))
+
+    old, new = cells(before), cells(after)
+    return F.concat(signed(F.array_except(new, old), 1), signed(F.array_except(old, new), -1))
+
+
+def org_from_cells(cells: DataFrame, sums: DataFrame, spine: DataFrame) -> DataFrame:
+    """Organization-day rows from (predicate, day, next, n) cells and the metric sums by day.
+
+    Equal to :func:`org_daily` over the user-days that the cells and sums were taken from. What is
+    read here grows with the days, not with the users.
+    """
+    days = indexed_days(spine)
+    first, second = days.withColumnRenamed("idx", "_i"), days.toDF("next", "_next")
+    placed = cells.join(F.broadcast(first), "day").join(F.broadcast(second), "next", "left")
+    zero = F.lit(0).cast("bigint")
+
+    def change(idx: Column, counts: Mapping[str, Column]) -> Column:
+        return F.struct(idx.cast("bigint").alias("idx"), *[zero.alias(c) for c in METRICS],
+                        *[counts.get(m, zero).alias(m) for m in AGENT_WINDOWS])
+
+    def of(predicate: str) -> Column:
+        return F.when(F.col("predicate") == predicate, F.col("n")).otherwise(zero)
+
+    arrivals = change(F.col("_i"), {m: of(p) for m, (p, _) in AGENT_WINDOWS.items()})
+    departures = [change(F.least(F.col("_i") + n, F.col("_next")), {m: -of(p)})
+                  for m, (p, n) in AGENT_WINDOWS.items()]
+    moved = placed.select(F.explode(F.array(arrivals, *departures)).alias("c")).select("c.*")
+    own = sums.join(F.broadcast(days), "day").select(
+        F.col("idx").cast("bigint").alias("idx"), *METRICS, *[zero.alias(m) for m in AGENT_WINDOWS])
+    daily = own.unionByName(moved).groupBy("idx").agg(*_summed([*METRICS, *AGENT_WINDOWS]))
+    return _complete(days, daily, METRICS, list(AGENT_WINDOWS), [], "idx")
+
+
 def org_language_entries(entries: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """User-level breakdown entries summed per (day, language, feature)."""
     return entries.groupBy(*by, "day", "language", "feature").agg(

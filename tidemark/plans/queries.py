@@ -627,8 +627,8 @@ def refresh_org_rows(spark, sf):
 
 @query
 def refresh_user_totals(spark, sf):
-    out = _refreshed(spark, sf)
-    return views.sort_view(spark.read.parquet(f"{out}/user_summary"), "user_summary")
+    return views.sort_view(
+        streaming.user_summary(spark, _refreshed(spark, sf)), "user_summary")
 
 
 def _refreshed_org(spark, sf):
