@@ -17,8 +17,20 @@ WINDOWED = [
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 
-@pytest.mark.parametrize("name", WINDOWED)
-def test_the_scan_gets_the_first_day(spark, name):
+def scans(spark, name):
+    """Scans of the log in the plan, before any reuse."""
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan" in line and "event_type" in line]
-    assert scans and all("ts" in s.split("DataFilters: [")[1].split("]")[0] for s in scans)
+    return [line for line in plan.split("\n") if "FileScan" in line and "events" in line]
+
+
+@pytest.mark.parametrize("name", WINDOWED)
+def test_the_log_is_scanned_once_from_the_first_day_on(spark, name):
+    (scan,) = scans(spark, name)
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts," in pushed
+
+
+@pytest.mark.parametrize("name", ["language_ranking", "language_series", "language_pivot"])
+def test_languages_are_scanned_for_scores_and_series(spark, name):
+    found = scans(spark, name)
+    assert len(found) == 2 and all("GreaterThanOrEqual(ts," in s for s in found)

@@ -69,10 +69,11 @@ def language_pivot(languages: DataFrame, k: int = 6, by: Sequence[str] = ()) ->
     ranked = [F.sum(F.when(F.col("series_rank") == i, F.col("score"))).alias(f"top_{i}")
               for i in range(1, k + 1)]
     other = F.sum(F.when(F.col("series_rank") > k, F.col("score"))).alias("other")
-    wide = series.groupBy(*by, "day").agg(*ranked, other)
-    # at most k + 1 names per key
-    names = F.array_sort(F.collect_set(F.struct("series_rank", "series")))["series"]
-    return attach_total(wide, series, names, "series", by)
+    named = F.collect_set(F.struct("series_rank", "series")).alias("_named")
+    wide = series.groupBy(*by, "day").agg(*ranked, other, named)
+    # at most k + 1 names per key, gathered from the rows of its days
+    names = F.flatten(F.collect_set("_named").over(Window.partitionBy(*by)))
+    return wide.withColumn("series", F.array_sort(F.array_distinct(names))["series"]).drop("_named")
 
 
 def infra_languages(languages: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,8 @@ grouped on the date and the numeric id, and named in text afterwards.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,20 +138,26 @@ def org_days(ev: DataFrame, spine: DataFrame | None = None) -> DataFrame:
     return org_daily(users, spine, user="user_id", unique=True)
 
 
-def recent(
-    spark: SparkSession, sf_dir: str, visible: DataFrame, lead: int = 0
-) -> tuple[DataFrame, DataFrame]:
-    """The events from ``lead`` days before the first visible day on, and their report days.
+def span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date] | None:
+    """First and last day of the log, or None if it is empty: one job over its time column.
 
-    The bound is one value, found from the days of the log, so the scan skips older row groups
-    before anything is aggregated.
+    A landing area knows them from its listed days; the log has to be asked, once for a query.
     """
+    ts = spark.read.parquet(f"{sf_dir}/events.parquet").agg(
+        F.min("ts").cast("date").alias("first"), F.max("ts").cast("date").alias("last")).first()
+    return None if ts.first is None else (ts.first, ts.last)
+
+
+def days_between(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
+    """A spine that needs no table."""
+    days = F.sequence(F.lit(first), F.lit(last)).cast("array<string>")
+    return spark.range(1).select(F.explode(days).alias("day"))
+
+
+def since(spark: SparkSession, sf_dir: str, first: dt.date) -> DataFrame:
+    """The events from a day on; the bound is a value, so the scan skips older row groups."""
     kind = spark.read.parquet(f"{sf_dir}/events.parquet").schema["ts"].dataType
-    first = F.date_sub(F.min(F.col("day").cast("date")), lead)
-    since = visible.agg(first.cast(kind).alias("since"))
-    days = event_days(events(spark, sf_dir))
-    kept = days.where(F.col("day") >= visible.agg(first.cast("string").alias("first")).scalar())
-    return events(spark, sf_dir, since.scalar()), kept
+    return events(spark, sf_dir, F.lit(first).cast(kind))
 
 
 def org_entries(ev: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,25 +36,37 @@ def _daily(spark, sf):
     return model.org_days(model.events(spark, sf))
 
 
-def _visible_spine(spark, sf, selected=None):
-    """The days of the visible window; needs the day column of the log only."""
-    return windows.visible_days(model.event_days(model.events(spark, sf)), selected)
-
-
 #: Days before the first visible one that reach into its rolling counts.
 _LEAD = 27
 
 
-def _visible(spark, sf, spine=None):
+def _window(spark, sf, lead=0, last_rows=None):
+    """Events and spine of the visible window, with some days before it, and the window's spine.
+
+    The log is scanned once; its first and last day are known beforehand. Its days have no gaps, so
+    the last report rows are the last calendar days.
+    """
+    span = model.span(spark, sf)
+    if span is None:
+        ev = model.events(spark, sf)
+        return ev, model.event_days(ev), model.event_days(ev)
+    first, last = span
+    rows = last_rows or windows.resolve_window((last - first).days + 1)
+    shown = max(first, last - dt.timedelta(days=rows - 1))
+    read = max(first, shown - dt.timedelta(days=lead))
+    return (model.since(spark, sf, read), model.days_between(spark, read, last),
+            model.days_between(spark, shown, last))
+
+
+def _visible(spark, sf):
     """Visible report days, from the events of these days and those that reach into them."""
-    spine = _visible_spine(spark, sf) if spine is None else spine
-    ev, days_with_lead = model.recent(spark, sf, spine, _LEAD)
-    return windows.restrict_to_days(model.org_days(ev, days_with_lead), spine)
+    ev, with_lead, visible = _window(spark, sf, _LEAD)
+    return windows.restrict_to_days(model.org_days(ev, with_lead), visible)
 
 
 def _visible_sums(spark, sf):
     """Visible report days without the rolling counts: no shuffle by user."""
-    ev, visible = model.recent(spark, sf, _visible_spine(spark, sf))
+    ev, _, visible = _window(spark, sf)
     return rollups.org_rollup(model.user_days(ev), visible)
 
 
@@ -62,9 +76,8 @@ def _sums(spark, sf):
 
 
 def _visible_user_days(spark, sf):
-    spine = _visible_spine(spark, sf)
-    ev, _ = model.recent(spark, sf, spine)
-    return windows.restrict_to_days(model.user_days(ev), spine)
+    ev, _, visible = _window(spark, sf)
+    return windows.restrict_to_days(model.user_days(ev), visible)
 
 
 def _window_users(spark, sf):
@@ -72,10 +85,8 @@ def _window_users(spark, sf):
 
 
 def _visible_languages(spark, sf):
-    spine = _visible_spine(spark, sf)
-    ev, _ = model.recent(spark, sf, spine)
-    daily = views.language_totals(model.org_entries(ev))
-    return windows.restrict_to_days(daily, spine)
+    ev, _, visible = _window(spark, sf)
+    return windows.restrict_to_days(views.language_totals(model.org_entries(ev)), visible)
 
 
 # --- curated views ---------------------------------------------------------
@@ -178,12 +189,14 @@ def distinct_agent_users(spark, sf):
 
 @query
 def visible_days(spark, sf):
-    return _visible(spark, sf)
+    ev, with_lead, _ = _window(spark, sf, _LEAD)
+    return windows.visible_days(model.org_days(ev, with_lead))
 
 
 @query
 def last_14_days(spark, sf):
-    return _visible(spark, sf, windows.last_days(model.event_days(model.events(spark, sf)), 14))
+    ev, with_lead, _ = _window(spark, sf, _LEAD, last_rows=14)
+    return windows.last_days(model.org_days(ev, with_lead), 14)
 
 
 def _order_days(spark, sf):
