@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .fields import RAW_TABLES
-from .plans.ingest import ingest
+from .plans.ingest import ingest, ingest_landed
 from .streaming.refresh import refresh
 
 
@@ -19,8 +19,9 @@ def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidemark")
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("ingest", help="build and publish the views from NDJSON reports")
-    run.add_argument("--org-reports", nargs="+", required=True)
-    run.add_argument("--user-reports", nargs="+", required=True)
+    run.add_argument("--org-reports", nargs="+")
+    run.add_argument("--user-reports", nargs="+")
+    run.add_argument("--landing", help="a landing area, instead of single report files")
     run.add_argument("--root", required=True)
     run.add_argument("--org")
     run.add_argument("--source", default="reports")
@@ -35,18 +36,25 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = arguments().parse_args(argv)
+    parser = arguments()
+    args = parser.parse_args(argv)
+    if args.command == "ingest" and not args.landing and not (
+            args.org_reports and args.user_reports):
+        parser.error("ingest needs --landing, or --org-reports and --user-reports")
     spark = (
         SparkSession.builder.appName("tidemark")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     if args.command == "ingest":
-        run = ingest(
-            spark, args.org_reports, args.user_reports, args.root, org=args.org,
-            source=args.source, trigger=args.trigger, fmt=args.format,
+        options = dict(
+            org=args.org, source=args.source, trigger=args.trigger, fmt=args.format,
             report_window_days=args.report_window_days,
         )
+        if args.landing:
+            run = ingest_landed(spark, args.landing, args.root, **options)
+        else:
+            run = ingest(spark, args.org_reports, args.user_reports, args.root, **options)
         print(run["id"], run["status"], run["snapshot_records"])
     else:
         for table in RAW_TABLES:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fields import RAW_TABLES
 from ..operators import views
 from ..sources import ledger, snapshots
 from ..sources.days import check_window
+from ..sources.landing import Registry, landed_days
 from ..sources.ndjson import read_ndjson
 
 
@@ -29,20 +31,61 @@ def ingest(
     org_paths: str | Sequence[str],
     user_paths: str | Sequence[str],
     root: str,
+    report_window_days: int = 100,
+    end: dt.date | None = None,
+    **options,
+) -> dict:
+    """Build and publish the four views from report files, with a ledger entry before and after.
+
+    Only the ``report_window_days`` calendar days up to ``end`` (the last landed day, unless given)
+    are taken from the reports, so the ledger states what was read. All files are parsed to find
+    them; reports in the landing layout are better read by :func:`ingest_landed`.
+    """
+    def read() -> list[DataFrame]:
+        reports = [read_ndjson(spark, org_paths), read_ndjson(spark, user_paths)]
+        return in_window(reports, report_window_days, end)
+
+    return _run(spark, read, root, report_window_days, **options)
+
+
+def ingest_landed(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    report_window_days: int = 100,
+    end: dt.date | None = None,
+    **options,
+) -> dict:
+    """The same from a landing area of days and deliveries (see sources/landing.py).
+
+    Only the newest deliveries of the window's days are opened. Their schemas come from a registry
+    below ``root``; text is parsed for them once, when a delivery is new or has other files.
+    """
+    def read() -> list[DataFrame]:
+        tables = [Registry(spark, f"{landing}/{table}", f"{root}/registry") for table in RAW_TABLES]
+        days = [day for t in tables for day in landed_days(spark, t.root)]
+        last = end or (dt.date.fromisoformat(max(days)) if days else None)
+        return [t.read(t.window(report_window_days, last)) for t in tables]
+
+    return _run(spark, read, root, report_window_days, **options)
+
+
+def _run(
+    spark: SparkSession,
+    read: Callable[[], Sequence[DataFrame]],
+    root: str,
+    report_window_days: int,
     org: str | None = None,
     source: str = "reports",
     trigger: str = "manual",
     invocation_id: str | None = None,
-    report_window_days: int = 100,
     fmt: str = "parquet",
     keep_raw: bool = True,
-    end: dt.date | None = None,
 ) -> dict:
-    """Build and publish the four views, with a ledger entry before and after.
+    """One run of the ledger. Any failure is recorded as such and raised again.
 
-    Only the ``report_window_days`` calendar days up to ``end`` (the last landed day, unless given)
-    are taken from the reports, so the ledger states what was read. Any failure is recorded as such and raised again. The user reports are parsed
-    for the user-day view only; the user totals are taken from its written copy.
+    The user reports are parsed for the user-day view only; the user totals are taken from its
+    written copy.
     """
     check_window(report_window_days)
     started = dt.datetime.now(dt.timezone.utc)
@@ -59,9 +102,7 @@ def ingest(
     }
     ledger.append_event(spark, ledger_path, run)
     try:
-        org_raw, user_raw = in_window(
-            [read_ndjson(spark, org_paths), read_ndjson(spark, user_paths)],
-            report_window_days, end)
+        org_raw, user_raw = read()
         run.update(_build(spark, org_raw, user_raw, root, owner, source, run["id"], fmt, keep_raw))
         run["status"] = "succeeded"
     except BaseException as e:

@@ -550,3 +550,4 @@ put("refresh_restated_languages", _LANG,
 for _name in ("summary_kpis", "user_table", "language_ranking"):
     ORACLE[f"published_{_name}"] = ORACLE[_name]
 put("ingest_window", f"{_BASE}", "SELECT * FROM ud WHERE day IN (SELECT day FROM sp ORDER BY day DESC LIMIT 14)")
+ORACLE["ingest_landed_window"] = ORACLE["ingest_window"]

@@ -706,3 +706,16 @@ def ingest_window(spark, sf):
     ingestion.ingest(spark, f"{root}/org", f"{root}/user", f"{root}/out", org="acme",
                      report_window_days=14)
     return snapshots.read_view(spark, "user_daily_summary", [f"{root}/out"], "acme", "reports")
+
+
+@query
+def ingest_landed_window(spark, sf):
+    """The same window from a landing area where every day was delivered twice, once in part."""
+    root = scratch.fresh_dir(spark, "ingest")
+    ev = model.events(spark, sf)
+    for delivery, part in (("0001", ev.where("hour < 20")), ("0002", ev)):
+        streaming.land(model.user_reports(part), f"{root}/landing", "user_metrics", delivery)
+    streaming.land(model.org_reports(ev), f"{root}/landing", "org_metrics", "0001")
+    ingestion.ingest_landed(spark, f"{root}/landing", f"{root}/out", org="acme",
+                            report_window_days=14)
+    return snapshots.read_view(spark, "user_daily_summary", [f"{root}/out"], "acme", "reports")

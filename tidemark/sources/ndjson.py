@@ -34,19 +34,24 @@ def read_ndjson(
     return reader.json(paths if isinstance(paths, str) else list(paths))
 
 
-def _merge(a: T.DataType, b: T.DataType, where: str) -> T.DataType:
-    """The common type of two columns; struct fields may differ, types may not."""
+_NUMBERS = (T.LongType, T.DoubleType)
+
+
+def merge_types(a: T.DataType, b: T.DataType, where: str) -> T.DataType:
+    """The common type of two columns; struct fields may differ, other types may only widen."""
     if isinstance(a, T.NullType):
         return b
     if isinstance(b, T.NullType) or a == b:
         return a
+    if isinstance(a, _NUMBERS) and isinstance(b, _NUMBERS):
+        return T.DoubleType()
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(_merge(a.elementType, b.elementType, f"{where}[]"))
+        return T.ArrayType(merge_types(a.elementType, b.elementType, f"{where}[]"))
     if isinstance(a, T.StructType) and isinstance(b, T.StructType):
         other = {f.name: f.dataType for f in b.fields}
         fields = [
             T.StructField(
-                f.name, _merge(f.dataType, other.pop(f.name, f.dataType), f"{where}.{f.name}")
+                f.name, merge_types(f.dataType, other.pop(f.name, f.dataType), f"{where}.{f.name}")
             )
             for f in a.fields
         ]
@@ -56,7 +61,7 @@ def _merge(a: T.DataType, b: T.DataType, where: str) -> T.DataType:
 
 def check_types(frames: Sequence[DataFrame]) -> None:
     """Fail early when parts disagree on a column's type."""
-    reduce(lambda a, b: _merge(a, b, "row"), [T.StructType(f.schema.fields) for f in frames])
+    reduce(lambda a, b: merge_types(a, b, "row"), [T.StructType(f.schema.fields) for f in frames])
 
 
 def drift_union(frames: Sequence[DataFrame]) -> DataFrame | None:

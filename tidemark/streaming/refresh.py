@@ -42,13 +42,10 @@ from ..fields import (
     BREAKDOWN, BREAKDOWN_TYPE, FLAGS, METRICS, ORG_METRICS, RAW_TABLES, VIEW_SCHEMAS,
 )
 from ..operators import rollups, views
+from ..sources import landing as landed
 from ..sources import ledger
 from ..sources.files import text_of
 from ..sources.manifest import Log, Snapshot, Table, Version, Written
-from ..sources.ndjson import read_ndjson
-
-# One row per file. The content column is never selected, so no file is opened.
-_FILES = "path string, modificationTime timestamp, length bigint, content binary, day string, delivery string"
 
 _VIEWS_OF: Mapping[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
     "user_metrics": {"user_daily_summary": views.user_daily_summary},
@@ -64,48 +61,12 @@ _KNOWN_TYPES = {
     BREAKDOWN: BREAKDOWN_TYPE,
 }
 BUCKETS = 64  # of user_state, when it is made; a table keeps the number that it was made with
-_DAYS = "day string, delivery string, fields array<string>"
 
 
 class ConcurrentRefresh(RuntimeError):
     """Another writer changed the tables that this batch was worked out from."""
 
 
-def newest_deliveries(spark: SparkSession, root: str, days: list[str]) -> dict[str, str]:
-    """Name of the newest delivery of each of some days, from the file listing alone."""
-    paths = [f"{root}/day={d}" for d in days]
-    files = spark.read.format("binaryFile").option("basePath", root).schema(_FILES).load(paths)
-    newest = files.groupBy("day").agg(F.max("delivery").alias("delivery")).collect()
-    return {r.day: r.delivery for r in newest}
-
-
-def _path(root: str, day: str, delivery: str) -> str:
-    return f"{root}/day={day}/delivery={delivery}"
-
-
-def _fields_by_day(spark: SparkSession, root: str, paths: list[str]) -> dict[str, set[str]]:
-    """Known fields that occur on each day that has rows. Days times known fields: it is small."""
-    text = spark.read.option("basePath", root).schema("value string, day string, delivery string")
-    known = F.array(*[F.lit(c) for c in sorted(_KNOWN_TYPES)])
-    fields = F.coalesce(F.array_intersect(F.json_object_keys("value"), known), F.array())
-    lines = text.text(paths).where(F.trim("value") != "")
-    found = lines.select("day", F.explode_outer(fields).alias("name"))
-    by_day = found.groupBy("day").agg(F.collect_set("name").alias("names"))
-    return {r.day: set(r.names) for r in by_day.collect()}
-
-
-def _read_days(spark: SparkSession, root: str, paths: list[str], known: set[str]) -> DataFrame:
-    """Rows of the given deliveries, typed as if the whole table had been read.
-
-    A field seen on any day of the table but on none of these is null here; a
-    field seen nowhere stays absent, so that it gets its default.
-    """
-    df = read_ndjson(spark, paths, base_path=root).drop("delivery")
-    df = df.withColumn("day", F.col("day").cast("string"))
-    nulls = {c: F.lit(None).cast(_KNOWN_TYPES[c]) for c in sorted(known - set(df.columns))}
-    return df.withColumns(nulls) if nulls else df
-
-
 class _Batch:
     """What one micro-batch writes, worked out from one version."""
 
@@ -126,40 +87,38 @@ class _Batch:
         self.staged[name] = written = self.log.write(df, name, key, options=options)
         return self.log.staged(name, written)
 
-    def listed(self) -> dict[str, tuple[str, set[str]]]:
-        """Newest delivery and fields of each listed day: one row a day."""
-        rows = self.old(f"days_{self.table}", _DAYS).collect()
-        return {r.day: (r.delivery, set(r.fields)) for r in rows}
+    def listed(self) -> dict[str, landed.Delivery]:
+        """The newest delivery of each listed day, with its schema: one row a day."""
+        rows = self.old(f"days_{self.table}", landed.DELIVERIES).collect()
+        return {r.day: landed.Delivery.of(r) for r in rows}
 
     def run(self, touched: list[str]) -> None:
         root, listed = f"{self.landing}/{self.table}", self.listed()
-        deliveries = newest_deliveries(self.spark, root, touched)
-        paths = {day: _path(root, day, d) for day, d in deliveries.items()}
-        fields = _fields_by_day(self.spark, root, list(paths.values()))
-        now = {day: (deliveries[day], names) for day, names in fields.items()}
-        after = {day: d for day, d in listed.items() if day not in deliveries} | now
+        now = landed.registered(self.spark, root, landed.newest(self.spark, root, touched))
+        redone = {d.day for d in now}
+        after = {day: d for day, d in listed.items() if day not in redone}
+        after |= {d.day: d for d in now if d.schema is not None}
+        schema = landed.merged(root, after.values())
 
-        def seen(days: Mapping[str, tuple[str, set[str]]]) -> set[str]:
-            return set().union(*(names for _, names in days.values()))
+        def seen(of: T.StructType) -> set[str]:
+            return set(of.names) & set(_KNOWN_TYPES)
 
-        redone = set(deliveries)
-        if listed and seen(listed) != seen(after):
+        if listed and seen(landed.merged(root, listed.values())) != seen(schema):
             # A field came or went, which decides null or default on every other day.
             redone |= set(listed)
         filled = sorted(redone & set(after))
         rows = None
         if filled:
-            rows = _read_days(self.spark, root, [_path(root, d, after[d][0]) for d in filled],
-                              seen(after))
+            rows = landed.scan(self.spark, root, [after[d] for d in filled], schema, _KNOWN_TYPES)
         for view, build in _VIEWS_OF[self.table].items():
             if rows is not None:
                 self.write(view, build(rows), "day")
             # a day with rows may have none in this view, for instance an empty breakdown
             kept = set(self.staged[view].table.parts) if view in self.staged else set()
             self.gone[view] = redone - kept
-        self.write(f"days_{self.table}", self.spark.createDataFrame(
-            [(day, d, sorted(names)) for day, (d, names) in sorted(after.items())], _DAYS)
-            .coalesce(1))
+        days = self.spark.createDataFrame([after[d].row() for d in sorted(after)],
+                                          landed.DELIVERIES)
+        self.write(f"days_{self.table}", days.coalesce(1))
         if self.table == "user_metrics":
             self._users(sorted(redone), sorted(after))
 
@@ -285,7 +244,7 @@ def refresh(
             stream = json.loads(text_of(spark, f"{checkpoint}/metadata"))["id"]
             refresh_batch(spark, landing, out, table, touched, stream, number, org, buckets)
 
-    files = spark.readStream.format("binaryFile").schema(_FILES).load(f"{landing}/{table}")
+    files = spark.readStream.format("binaryFile").schema(landed.FILES).load(f"{landing}/{table}")
     stream = (
         files.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
