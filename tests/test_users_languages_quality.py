@@ -171,12 +171,49 @@ def test_reconcile(spark, rows):
 
 
 def test_ranges(spark, rows):
-    assert quality.allowed_ranges()["chat_panel_ask_mode"] == (6, 84)
     df = spark.createDataFrame([("1", 3), ("2", 11), ("3", None)], f"day string, {ACTIVE_USERS} bigint")
     out = quality.range_violations(df, {ACTIVE_USERS: (3, 10)})
     assert rows(out, "day", "field", "value") == [("2", ACTIVE_USERS, 11)]
 
 
+BOUNDS = "org string, field string, valid_from string, valid_to string, low bigint, high bigint"
+
+
+def test_bounds_by_key_field_and_time(spark, rows):
+    bounds = spark.createDataFrame([
+        ("a", "x", "2025-01-01", "2025-01-31", 0, 9), ("a", "x", "2025-02-01", None, 5, None),
+        ("a", "y", None, "2025-01-15", None, 1), ("b", "x", None, None, 100, 200),
+        (None, "x", "2025-01-01", "2030-01-01", 0, 0), ("c", "x", "1900-01-01", "1999-01-01", 7, 7),
+    ], BOUNDS)
+    daily = spark.createDataFrame([
+        ("a", "2025-01-31", 10, 5), ("a", "2025-02-01", 4, 5), ("a", "2025-01-15", 9, 2),
+        ("a", "2024-12-31", 99, 1), ("a", "2026-07-01", 1000, 0), ("b", "2025-01-01", 150, 1),
+        ("b", "1999-01-01", 99, None), (None, "2025-06-01", 1, 1), ("c", "2025-01-01", 1, 1),
+        ("a", "2025-03-01", None, None), ("a", None, -5, -5),
+    ], "org string, day string, x bigint, y bigint")
+    got = quality.bound_violations(daily, bounds, ["x", "y"], ["org"])
+    assert rows(got, "org", "day", "field", "value", "low", "high") == sorted([
+        ("a", "2025-01-31", "x", 10.0, 0, 9), ("a", "2025-02-01", "x", 4.0, 5, None),
+        ("a", "2025-01-15", "y", 2.0, None, 1), ("b", "1999-01-01", "x", 99.0, 100, 200),
+        (None, "2025-06-01", "x", 1.0, 0, 0)], key=repr)
+    none = quality.bound_violations(daily.where("false"), bounds, ["x"], ["org"])
+    assert none.count() == 0
+    assert quality.bound_violations(daily, bounds.where("false"), ["x"], ["org"]).count() == 0
+
+
+@pytest.mark.parametrize("wrong, message", [
+    ([("a", "x", "2025-01-01", "2025-01-31", 0, 1), ("a", "x", "2025-01-31", None, 0, 1)], "overlap"),
+    ([("a", "x", None, None, 0, 1), ("a", "x", "2025-01-31", "2025-02-01", 0, 1)], "overlap"),
+    ([("a", "x", None, "2025-01-01", 0, 1), ("a", "x", None, "2024-01-01", 0, 1)], "overlap"),
+    ([("a", "x", "2025-01-02", "2025-01-01", 0, 1)], "end before"),
+])
+def test_bounds_that_contradict_are_rejected(spark, wrong, message):
+    bounds = spark.createDataFrame(wrong, BOUNDS)
+    daily = spark.createDataFrame([("a", "2025-01-31", 1)], "org string, day string, x bigint")
+    with pytest.raises(Exception, match=message):
+        quality.bound_violations(daily, bounds, ["x"], ["org"]).collect()
+
+
 def test_accepted(spark, rows):
     df = spark.createDataFrame([("a", 1, 2), ("b", 2, 2), ("c", None, 1)], f"k string, {GENERATED} bigint, {ACCEPTED} bigint")
     assert rows(quality.accept_violations(df), "k") == [("a",), ("c",)]

@@ -68,20 +68,6 @@ PHASE_BANDS = [
 ]
 BASELINE_PHASE = "baseline"
 
-# Plausible range per metric of one organization-day.
-FIELD_RANGES = {
-    ACTIVE_USERS: (3, 8),
-    PROMPTS: (30, 200),
-    GENERATED: (25, 280),
-    ACCEPTED: (5, 160),
-    AGENT_MODE: (0, 52),
-    ASK_MODE: (6, 65),
-    EDIT_MODE: (2, 50),
-    CUSTOM_MODE: (0, 18),
-    AGENT_EDIT: (0, 36),
-}
-RANGE_HEADROOM = 1.3
-
 # Names of the raw tables and of the curated views.
 RAW_TABLES = ("org_metrics", "user_metrics")
 VIEWS = ("daily_summary", "user_summary", "user_daily_summary", "language_summary")

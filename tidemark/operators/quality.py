@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fields import (
-    ACCEPTED, AGENT_MODE, FIELD_RANGES, FLAG_ACTIVE, FLAG_AGENT, FLAG_PASSIVE, FLAGS, GENERATED,
-    METRICS, ORG_METRICS, PROMPTS, RANGE_HEADROOM,
+    ACCEPTED, AGENT_MODE, FLAG_ACTIVE, FLAG_AGENT, FLAG_PASSIVE, FLAGS, GENERATED, METRICS,
+    ORG_METRICS, PROMPTS,
 )
 from ..functions.ranking import top_k, whole_frame
 from ..functions.scalars import acceptance_rate, is_true, number
@@ -49,14 +51,9 @@ def reconcile(
     )
 
 
-def allowed_ranges() -> dict[str, tuple[int, int]]:
-    """Accepted bounds: the plausible range with headroom on its upper end."""
-    return {f: (lo, max(hi, round(hi * RANGE_HEADROOM))) for f, (lo, hi) in FIELD_RANGES.items()}
-
-
 def range_violations(
     daily: DataFrame,
-    ranges: Mapping[str, tuple[int, int]] | None = None,
+    ranges: Mapping[str, tuple[int, int]],
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Values outside their field's bounds. The bounds are constants in the plan."""
@@ -67,12 +64,81 @@ def range_violations(
             "low": F.lit(lo).cast("bigint"),
             "high": F.lit(hi).cast("bigint"),
         }
-        for f, (lo, hi) in (ranges or allowed_ranges()).items()
+        for f, (lo, hi) in ranges.items()
     }
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     return daily.select(*_long_form(keys, values)).select(*keys, "r.*").where(outside)
 
 
+#: Calendar days of a bucket, by which bounds meet the values of their time.
+BUCKET_DAYS = 32
+
+
+def _bucket(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BUCKET_DAYS)
+
+
+def checked_bounds(bounds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Bounds with their days as dates; two that hold on the same day, or end early, are an error.
+
+    Each reads *by, ``field``, ``valid_from``, ``valid_to``, ``low``, ``high``: the bounds of a
+    field from one day to another, both included. A null is open. The error is raised by whatever
+    reads the result, no job runs here.
+    """
+    keys = [*by, "field"]
+    start, end = F.col("valid_from").cast("date"), F.col("valid_to").cast("date")
+    dated = bounds.select(*keys, start.alias("valid_from"), end.alias("valid_to"), "low", "high")
+    earlier = Window.partitionBy(*keys).orderBy(
+        F.asc_nulls_first("valid_from"), F.asc_nulls_last("valid_to")).rowsBetween(
+            Window.unboundedPreceding, -1)
+    last = F.max(F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))).over(earlier)
+    name = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    wrong = (
+        F.when(F.col("valid_to") < F.col("valid_from"),
+               F.raise_error(F.concat(F.lit("bounds end before they start: "), name)))
+        .when(F.col("_last") >= F.coalesce("valid_from", F.lit("0001-01-01").cast("date")),
+              F.raise_error(F.concat(F.lit("overlapping bounds: "), name)))
+        .otherwise(F.lit(True)).cast("boolean")
+    )
+    return dated.withColumn("_last", last).where(wrong).drop("_last")
+
+
+def bound_violations(
+    daily: DataFrame,
+    bounds: DataFrame,
+    fields: Sequence[str],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Values outside the bounds that hold for their key, field and day, from a table of bounds.
+
+    Values and bounds meet by key, field and a range of days, so long histories of bounds and of
+    values join by equality, and no value sees bounds of other times than its own. Values without
+    a day, or without bounds for it, are not judged. See :func:`checked_bounds`.
+    """
+    keys = [*by, "field"]
+    values = {f: {"value": F.col(f).cast("double")} for f in fields}
+    long = daily.select(*_long_form([*by, "day"], values)).select(*by, "day", "r.*")
+    long = long.where(F.col("value").isNotNull() & F.col("day").isNotNull()).withColumn(
+        "_date", F.col("day").cast("date"))
+    first, last = (daily.agg(f(F.col("day").cast("date")).alias("d")).scalar()
+                   for f in (F.min, F.max))
+    limits = (
+        checked_bounds(bounds, by).withColumnsRenamed({k: f"_{k}" for k in keys})
+        .withColumns({"_first": first, "_until": last})
+        .withColumns({"_begin": F.greatest("valid_from", "_first"),
+                      "_end": F.least("valid_to", "_until")})
+        .where(F.col("_begin") <= F.col("_end"))
+        .withColumn("_bucket", F.explode(F.sequence(_bucket(F.col("_begin")),
+                                                    _bucket(F.col("_end")))))
+    )
+    same = reduce(and_, [long[k].eqNullSafe(limits[f"_{k}"]) for k in keys])
+    joined = long.withColumn("_at", _bucket(F.col("_date"))).join(
+        limits, same & (F.col("_at") == F.col("_bucket"))
+        & F.col("_date").between(F.col("_begin"), F.col("_end")))
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    return joined.where(outside).select(*by, "day", "field", "value", "low", "high")
+
+
 def accept_violations(df: DataFrame) -> DataFrame:
     """Rows with more accepted than generated blocks."""
     return df.where(number(ACCEPTED) > number(GENERATED))

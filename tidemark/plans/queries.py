@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fields import (
-    ACCEPTED, ACTIVE_USERS, AGENT_EDIT, BREAKDOWN, FLAG_AGENT, FLAGS, LANGUAGE_METRICS, METRICS,
+    ACCEPTED, ACTIVE_USERS, AGENT_EDIT, AGENT_MODE, ASK_MODE, BREAKDOWN, CUSTOM_MODE, EDIT_MODE,
+    FLAG_AGENT, FLAGS, GENERATED, LANGUAGE_METRICS, METRICS, PROMPTS,
 )
 from ..functions.scalars import is_true, utc_text
 from ..operators import (
@@ -452,9 +453,39 @@ def reconcile(spark, sf):
     return quality.reconcile(stored, rollups.org_rollup(model.user_days(ev), spine), METRICS)
 
 
+#: Bounds of one organization-day that the caller of the check gives.
+_RANGES = {
+    ACTIVE_USERS: (3, 10), PROMPTS: (30, 260), GENERATED: (25, 364), ACCEPTED: (5, 208),
+    AGENT_MODE: (0, 68), ASK_MODE: (6, 84), EDIT_MODE: (2, 65), CUSTOM_MODE: (0, 23),
+    AGENT_EDIT: (0, 47),
+}
+
+
 @query
 def range_violations(spark, sf):
-    return quality.range_violations(_sums(spark, sf))
+    return quality.range_violations(_sums(spark, sf), _RANGES)
+
+
+@query
+def bound_violations(spark, sf):
+    """Orders by day and priority against bounds of each quarter, the last of them open-ended."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    date = F.col("o_orderdate").cast("date")
+    daily = orders.groupBy(
+        F.col("o_orderpriority").alias("organization"), date.cast("string").alias("day")).agg(
+            F.count("*").alias("orders"), F.sum(F.floor("o_totalprice")).alias("amount"))
+    quarter = F.trunc(F.col("day").cast("date"), "quarter")
+    mean = daily.groupBy("organization", quarter.alias("valid_from")).agg(
+        F.avg("orders").alias("orders"), F.avg("amount").alias("amount"))
+    last = mean.agg(F.max("valid_from")).scalar()
+    until = F.when(F.col("valid_from") < last, F.date_sub(F.add_months("valid_from", 3), 1))
+    bounds = mean.select("organization", "valid_from", until.alias("valid_to"), F.explode(F.array(
+        F.struct(F.lit("orders").alias("field"), F.floor(F.col("orders") * 0.5).alias("low"),
+                 F.floor(F.col("orders") * 2).alias("high")),
+        F.struct(F.lit("amount").alias("field"), F.lit(None).cast("bigint").alias("low"),
+                 F.floor(F.col("amount") * 2).alias("high")))).alias("b")).select(
+                     "organization", "valid_from", "valid_to", "b.*")
+    return quality.bound_violations(daily, bounds, ["orders", "amount"], ["organization"])
 
 
 def _overstated(spark, sf):
