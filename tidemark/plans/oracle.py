@@ -453,6 +453,9 @@ FROM (SELECT day, user_login,
     {ACCEPTED} + {GENERATED} // 3 AS passive_review_score
   FROM ud)""")
 
+put("sketched_agent_users", _ORG, f"""
+SELECT day, {MONTHLY_AGENT}, {AGENT_1D}, {AGENT_7D}, {AGENT_28D}, true AS agree FROM od""")
+
 # --- checks
 put("reconcile", f"""{_BASE},
 {_SUM},

@@ -13,9 +13,9 @@ from ..fields import (
 )
 from ..functions.scalars import is_true, utc_text
 from ..operators import (
-    allocate, kpis, languages, quality, rollups, trends, users, views, windows,
+    allocate, kpis, languages, quality, rollups, sketches, trends, users, views, windows,
 )
-from ..sources import days, ledger, ndjson, scratch, snapshots
+from ..sources import days, ledger, manifest, ndjson, scratch, snapshots
 from ..streaming import refresh as streaming
 from . import event_model as model
 from . import ingest as ingestion
@@ -168,6 +168,29 @@ def weekly_any_agent_users(spark, sf):
     )
 
 
+@query
+def sketched_agent_users(spark, sf):
+    """Rolling users from stored day sketches: next to the exact counts, and whether they agree.
+
+    Agreement is within five times the stated relative error.
+    """
+    ev = model.events(spark, sf)
+    per_user, spine = model.user_days(ev), model.event_days(ev)
+    log = manifest.Log(spark, scratch.fresh_dir(spark, "sketches"))
+    sketches.store(log, "daily", sketches.user_sketches(
+        per_user, rollups.agent_predicates(), ["day"]))
+    found = sketches.trailing(log.open().read("daily"), spine, rollups.AGENT_WINDOWS)
+    exact = rollups.org_daily(per_user, spine, unique=True)
+    measures = list(rollups.AGENT_WINDOWS)
+    near = F.lit(True)
+    for m in measures:
+        off = F.abs(F.col(f"_{m}") - F.col(m))
+        near = near & (off <= 5 * sketches.relative_error() * F.col(m))
+    renamed = found.withColumnsRenamed({m: f"_{m}" for m in measures})
+    return exact.select("day", *measures).join(renamed, "day").select(
+        "day", *measures, near.alias("agree"))
+
+
 @query
 def report_days(spark, sf):
     ev = model.events(spark, sf)
