@@ -11,6 +11,7 @@ from tidemark.functions.scalars import run_id, utc_text
 from tidemark.operators import views
 from tidemark.plans.ingest import ingest, new_run_id
 from tidemark.sources import days, ledger, ndjson, scratch, snapshots
+from tidemark.sources.manifest import Log
 
 # Schema inference reports a bad line as a Java error, a read as a Spark error.
 MALFORMED = (PySparkException, Py4JJavaError)
@@ -206,6 +207,43 @@ def test_view_documents_keep_items_as_rows(spark, tmp_path, rows):
     assert back.where("view_type = 'daily_summary'").count() == 4
 
 
+@pytest.mark.parametrize("max_bytes", [60, 100, 1000, 100_000])
+def test_bounded_documents(spark, tmp_path, max_bytes):
+    """All items in view order, none twice, no document above the size."""
+    names = [("x" * (i * 7 % 40)) + f"{i:03d}" for i in range(200)]
+    view = spark.createDataFrame(
+        [(f"2025-{i % 12 + 1:02d}-{i // 12 + 1:02d}", n) for i, n in enumerate(names)],
+        "day string, n string").repartition(5)
+    view = view.unionByName(spark.createDataFrame([("2026-01-01", None)], view.schema))
+    if max_bytes == 60:
+        with pytest.raises(Exception, match="does not fit"):
+            snapshots.bounded_documents({"daily_summary": view}, Log(spark, str(tmp_path)), None,
+                                        "s", "r", "t", max_bytes).collect()
+        return
+    docs = snapshots.bounded_documents({"daily_summary": view}, Log(spark, str(tmp_path)), None,
+                                       "s", "r", "t", max_bytes).collect()
+    latest = sorted((d for d in docs if d.id.startswith("latest:")), key=lambda d: d.number)
+    assert len(docs) == 2 * len(latest)
+    assert [d.number for d in latest] == list(range(1, len(latest) + 1))
+    assert {d.total for d in docs} == {len(latest)}
+    items = [i for d in latest for i in json.loads(d.items)]
+    assert [(i["day"], i["n"]) for i in items] == sorted(map(tuple, view.collect()))
+    assert all(len(d.items.encode()) <= max_bytes + 1 for d in latest)
+    assert all(d.item_count == len(json.loads(d.items)) for d in latest)
+    if max_bytes == 100_000:
+        assert {d.id for d in docs} == {"latest:daily_summary", "r:daily_summary"}
+    else:
+        assert latest[1].id == "latest:daily_summary:2"
+    if max_bytes == 1000:
+        assert len(latest) < 2.2 * sum(len(d.items) for d in latest) / max_bytes
+
+
+def test_bounded_documents_of_an_empty_view(spark, tmp_path):
+    view = spark.createDataFrame([], "day string, n string")
+    assert snapshots.bounded_documents({"daily_summary": view}, Log(spark, str(tmp_path)), None,
+                                       "s", "r", "t").count() == 0
+
+
 def test_record_counts(spark, rows):
     frames = {"a": spark.range(3), "b": spark.range(0)}
     assert rows(snapshots.record_counts(frames)) == [("a", 3), ("b", 0)]

@@ -581,6 +581,36 @@ put("view_documents", _ALL, " UNION ALL ".join(
   '{n}' AS view_type, ({q}) AS items"""
     for n, q in _COUNTS.items() for prefix in ("latest", "run-1")))
 
+_TOTALS = f"""SELECT user_login, count(*) AS active_days, {_sums(METRICS[1:])},
+  {", ".join(f"count(*) FILTER ({f}) AS {f}_days" for f in FLAGS)},
+  {", ".join(f"coalesce(bool_or({f}), false) AS {f}" for f in FLAGS)}
+FROM ud GROUP BY user_login"""
+_DOCUMENTS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS view_type, row_number() OVER (ORDER BY {order}) AS pos,
+  CAST(to_json(t) AS VARCHAR) AS item FROM ({source}) AS t"""
+    for name, order, source in [
+        ("daily_summary", "day", f"SELECT day, {_list(METRICS + ORG_METRICS)} FROM od"),
+        ("user_summary", f"{PROMPTS} DESC, user_login", _TOTALS),
+        ("language_summary", "day, activity_score DESC, language", "SELECT * FROM lang")])
+put("view_documents_bounded", f"""{_ORG},
+{_LANG.removeprefix(_EV + ',')},
+items AS (SELECT *, strlen(item) + 1 AS size FROM ({_DOCUMENTS})),
+placed AS (
+  SELECT *, (sum(size) OVER (PARTITION BY view_type ORDER BY pos) - size) // 2000 AS block,
+    CASE WHEN size > 2000 THEN pos ELSE -1 END AS alone FROM items),
+docs AS (
+  SELECT view_type, block, alone, count(*) AS item_count,
+    '[' || string_agg(item, ',' ORDER BY pos) || ']' AS items
+  FROM placed GROUP BY ALL),
+told AS (
+  SELECT *, row_number() OVER (PARTITION BY view_type ORDER BY block, alone) AS number,
+    count(*) OVER (PARTITION BY view_type) AS total FROM docs)""", """
+SELECT prefix || ':' || view_type || CASE WHEN total > 1 THEN ':' || number ELSE '' END AS id,
+  'dashboard-view' AS document_type, 'acme' AS organization, 'events' AS source,
+  'run-1' AS run_id, '2024-02-01T00:00:00Z' AS updated_at, view_type, number, total, item_count,
+  items
+FROM told, (VALUES ('latest'), ('run-1')) AS p (prefix)""")
+
 # every day is restated in full, so a refresh ends in the whole table
 ORACLE["refresh_available_now"] = ORACLE["user_daily_summary"]
 ORACLE["refresh_org_rows"] = ORACLE["daily_summary"]

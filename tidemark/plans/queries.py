@@ -671,6 +671,16 @@ def view_documents(spark, sf):
     return docs.groupBy(*keys).agg(F.count("item").alias("items"))
 
 
+@query
+def view_documents_bounded(spark, sf):
+    """Three views as documents of at most 4,000 bytes, with their items."""
+    views_ = _views(spark, sf)
+    del views_["user_daily_summary"]
+    log = manifest.Log(spark, scratch.fresh_dir(spark, "documents"))
+    return snapshots.bounded_documents(
+        views_, log, "acme", "events", "run-1", "2024-02-01T00:00:00Z", max_bytes=4000)
+
+
 def _refreshed(spark, sf):
     """A first delivery of every day without its late events, then every day restated in full."""
     root = scratch.fresh_dir(spark, "refresh")

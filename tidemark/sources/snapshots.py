@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..fields import RAW_TABLES, VIEW_SCHEMAS, VIEWS
@@ -156,6 +156,77 @@ def view_documents(
     return out
 
 
+#: Bytes of the items of one document, with a separator each.
+DOCUMENT_BYTES = 1_000_000
+
+
+def bounded_documents(
+    views: Mapping[str, DataFrame], log: Log, org: str | None, source: str, run: str,
+    updated_at: str, max_bytes: int = DOCUMENT_BYTES,
+) -> DataFrame:
+    """Every view as documents that hold its items in order and stay below a size.
+
+    A view that fits is one document, as are its ids; else they are numbered, and each says how
+    many there are. ``items`` is a JSON array as text. An item too large for a document is an
+    error.
+
+    The items of a view are written once, in order, as a table that no version names. A running
+    count of bytes, from the sums of the parts and the rows within each, gives every item its
+    place; half a document's size of places make a document, and one more item may begin in them.
+    Items larger than that half are documents of their own.
+    """
+    parts = []
+    for name, df in views.items():
+        item = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        ordered = sort_view(df, name).select(
+            F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"),
+            item.alias("item"))
+        items = log.staged(f"items_{name}", log.write(ordered, f"items_{name}"))
+        parts.append(_cut(items, max_bytes).withColumn("view_type", F.lit(name)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    many = F.when(F.col("total") > 1, F.concat(F.lit(":"), F.col("number"))).otherwise("")
+    ids = F.array(*[F.concat(F.lit(f"{kind}:"), "view_type", many) for kind in ("latest", run)])
+    return out.select(
+        F.explode(ids).alias("id"),
+        F.lit("dashboard-view").alias("document_type"),
+        F.lit(org or "mock").alias("organization"),
+        F.lit(source).alias("source"),
+        F.lit(run).alias("run_id"),
+        F.lit(updated_at).alias("updated_at"),
+        "view_type", "number", "total", "item_count", "items",
+    )
+
+
+def _cut(items: DataFrame, max_bytes: int) -> DataFrame:
+    """(number, total, item_count, items) from (part, at, item), in the order of ``at``."""
+    half = max_bytes // 2
+    size = F.octet_length("item").cast("bigint") + 1
+    sized = items.withColumn("size", size)
+    sums = sized.groupBy("part").agg(F.sum("size").alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    offsets = sums.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    alone = F.when(F.col("size") > half, F.col("at")).otherwise(F.lit(-1))
+    fits = F.when(F.col("size") < max_bytes, True).otherwise(F.raise_error(
+        F.concat(F.lit(f"an item does not fit {max_bytes} bytes: "), F.col("size")))
+        .cast("boolean"))
+    placed = sized.join(offsets, "part").where(fits).select(
+        F.floor(place / half).alias("block"), alone.alias("alone"), "at", "item")
+    documents = placed.groupBy("block", "alone").agg(
+        F.count(F.lit(1)).alias("item_count"),
+        F.array_sort(F.collect_list(F.struct("at", "item")))["item"].alias("items"))
+    order = Window.orderBy("block", "alone")
+    known = placed.select("block", "alone").distinct().select(  # a row a document
+        "block", "alone", F.row_number().over(order).cast("bigint").alias("number"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("total"))
+    return documents.join(known, ["block", "alone"]).select(
+        "number", "total", "item_count",
+        F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("items"))
+
+
 def write_documents(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").partitionBy("view_type").parquet(path)
 
