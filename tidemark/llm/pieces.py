@@ -35,6 +35,7 @@ from tidemark.llm.common import in_slices
 N_BEST = 4
 SPACE = "▁"
 _CACHE_UNITS = 600_000
+_NO_PIECE = (0.0, b"")  # no piece begins like this
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -51,6 +52,8 @@ class Vocabulary:
                  if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.pieces = {names[i]: (model.get_score(i), struct.pack("<I", i)) for i in usual}
         self.longest = max(map(len, self.pieces))
+        # all beginnings of pieces, with what is known of those that are pieces
+        self.begun = {p[:k]: None for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.bytes = {int(names[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.unknown = min(s for s, _ in self.pieces.values()) - 10
         self.joined = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
@@ -72,26 +75,31 @@ class Vocabulary:
 
     def two_best(self, text: str) -> tuple[float, bytes, float]:
         """Best score, its ids, and how much less the second best has (infinite: none)."""
-        get, longest, none = self.pieces.get, self.longest, -float("inf")
-        best, second, back = [0.0], [none], [(0, b"")]
-        for i in range(1, len(text) + 1):
-            b1 = b2 = none
-            step = None
-            for j in range(i - longest if i > longest else 0, i):
-                found = get(text[j:i])
-                if found is None:
-                    if j < i - 1:
-                        continue
-                    found = self.edges(text, j, i)
-                s = best[j] + found[0]
-                if s > b1:
-                    b2 = max(b1, second[j] + found[0])
-                    b1, step = s, (j, found[1])
+        begun, none, size = self.begun.get, -float("inf"), len(text)
+        best, second = [0.0] + [none] * size, [none] * (size + 1)
+        back: list[tuple[int, bytes]] = [(0, b"")] * (size + 1)
+        for j in range(size):
+            b, c = best[j], second[j]
+            if text[j] not in self.pieces:
+                one = self.edges(text, j, j + 1)
+                if b + one[0] > best[j + 1]:
+                    second[j + 1] = max(best[j + 1], c + one[0])
+                    best[j + 1], back[j + 1] = b + one[0], (j, one[1])
                 else:
-                    b2 = max(b2, s)
-            best.append(b1)
-            second.append(b2)
-            back.append(step)
+                    second[j + 1] = max(second[j + 1], b + one[0])
+            for i in range(j + 1, size + 1):
+                found = begun(text[j:i], _NO_PIECE)
+                if found is _NO_PIECE:
+                    break
+                if found is not None:
+                    s = b + found[0]
+                    old = best[i]
+                    if s > old:
+                        other = c + found[0]
+                        second[i] = old if old > other else other
+                        best[i], back[i] = s, (j, found[1])
+                    elif s > second[i]:
+                        second[i] = s
         ids, at = [], len(text)
         while at:
             at, piece = back[at]
@@ -128,6 +136,8 @@ class Vocabulary:
         return out
 
     def parts(self, unit: str) -> list[str]:
+        if self.joined.issuperset(map("".join, zip(unit, unit[1:]))):
+            return [unit]
         cuts = [k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in self.joined]
         return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
 
@@ -141,12 +151,11 @@ class Vocabulary:
                      for u in units]
         else:
             units = text.split(" ")
-        found = list(map(self.units.__getitem__, units))
-        ids = [f[1] for f in found]
-        whole = sum(f[0] for f in found)
+        scores, ids, lost = zip(*map(self.units.__getitem__, units))
+        whole = sum(scores)
         out = [(whole, b"".join(ids))]
         if n > 1:
-            losses = np.array([f[2] for f in found])
+            losses = np.array(lost)
             # the n - 1 least losses, the first ones of equals
             most = np.partition(losses, n - 2)[n - 2] if len(losses) >= n else np.inf
             below = np.flatnonzero(losses < most)
@@ -154,7 +163,7 @@ class Vocabulary:
             out += self.others(units, ids, whole, [*below.tolist(), *level.tolist()], n)
         return out
 
-    def others(self, units: list[str], ids: list[bytes], whole: float, open_: list[int],
+    def others(self, units: list[str], ids: tuple[bytes, ...], whole: float, open_: list[int],
                n: int) -> list[tuple[float, bytes]]:
         """The second to n-th best; only the units at `open_` differ from the best."""
         choices = [self.unit_choices(units[k], n) for k in open_]
@@ -187,7 +196,7 @@ class Vocabulary:
 
     def decode(self, ids: bytes) -> str:
         texts = self.texts
-        out = b"".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        out = b"".join(map(texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return out.decode("utf-8", "replace")[1:]  # without the space in front
 
 
