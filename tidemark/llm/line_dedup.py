@@ -9,13 +9,16 @@ or more with it, whether that one stays or goes.
    by rarity, and equal numbers are equal words.
 2. Classes: lines of equal sets are one class; its first line stands for it, others go.
 3. Prefix filter: of n words sorted by rarity, similar sets share one of the first
-   n - ceil(t n) + 1. Sets meet at equal prefix words; length, positional and bitmap filters (the
-   bits in which two 64-bit maps differ cannot outnumber the words that only one set has) leave
-   few pairs.
-4. Verification of whole sets. A pair is emitted only at prefix words of at most `GROUP` sets, so
-   at most that many for each. A word of more sets is met by a left semi join that carries the
-   whole sets and stops at the first earlier similar one: it emits no pairs, however large the
-   group.
+   n - ceil(t n) + 1, and the smaller set has it among its first n - ceil(2 t n / (1 + t)) + 1. Sets
+   meet at equal prefix words; length, positional and bitmap filters (the bits in which two maps
+   differ cannot outnumber the words that only one set has) leave few pairs.
+4. Frequent words: similar sets also share a second word of prefixes that are one word longer. Sets
+   that meet at a word of more than `GROUP` sets meet at two words instead.
+5. Verification of whole sets. Pairs are emitted only at keys of at most `GROUP` sets. At two words
+   of more sets, these are dealt into blocks of about `GROUP`, in which a left semi join with the
+   whole sets stops at the first earlier similar one. The few lines that find none in their own
+   block are then compared with the other blocks. No pairs are emitted, however large the group,
+   and no task has more than a block of it.
 
 Defined cases: null text counts as empty; a line without words is kept and never matches; null ids
 come last; repeated rows lose their lines to the first of them; very long lines and texts are read
@@ -31,9 +34,12 @@ from tidemark.llm.common import release, stored
 
 THRESHOLD = 0.8
 GROUP = 512  # sets with a prefix word, up to which pairs are emitted
-SLOTS = 1 << 18  # of the table of counts: 2 MB, whatever the size of the corpus
+SLOTS = 1 << 18  # of the table of counts: 256 KB, whatever the size of the corpus
+LONG = 80  # words, above which a set has a map of 256 bits instead of 64
+_MAPS = ["b0", "b1", "b2", "b3"]
 _HASH = (1 << 57) - 1
 _EMPTY = -7444071767201028348  # xxhash64 of the empty string with the default seed
+_SPACES = "\t\r\x0b\x0c"
 
 
 def lines_of(docs: DataFrame, row_col: str, id_col: str, text_col: str) -> DataFrame:
@@ -45,47 +51,73 @@ def lines_of(docs: DataFrame, row_col: str, id_col: str, text_col: str) -> DataF
         F.posexplode(F.split(text, "\n")).alias("no", "line"))
 
 
+def words_of(line: Column) -> Column:
+    """Parts between spaces, empty ones included; other white space, if any, becomes spaces first."""
+    other = F.lit(False)
+    for space in _SPACES:
+        other = other | F.contains(line, F.lit(space))
+    return F.split(F.when(other, F.translate(line, _SPACES, "    ")).otherwise(line), " ")
+
+
 def word_hashes(line: Column) -> Column:
-    words = F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " ")
-    return F.array_remove(F.transform(words, lambda w: F.xxhash64(w)), F.lit(_EMPTY))
+    """Distinct hashes of the words of a line."""
+    return F.array_remove(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))),
+                          F.lit(_EMPTY))
 
 
-def rarity(docs: DataFrame, text_col: str) -> Column:
-    """The table of counts as an array: by slot, the logarithm of the count, in the upper bits."""
-    spark = docs.sparkSession
-    text = F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")),
-                       "\n\t\r\x0b\x0c", "     ")
-    counts = (docs.select(F.explode(F.split(text, " ")).alias("word"))
+def rarity(lines: DataFrame) -> Column:
+    """The table of counts as one value: a byte for each slot, 64 and the logarithm of its count."""
+    counts = (lines.select(F.explode(words_of(F.col("line"))).alias("word"))
               .groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot"))
               .agg(F.count("*").alias("times")))
-    upper = F.shiftleft(F.floor(F.log2(F.coalesce("times", F.lit(1)))).cast("long"), 57)
-    return (spark.range(SLOTS).withColumnRenamed("id", "slot").join(counts, "slot", "left")
-            .select(F.struct("slot", upper.alias("upper")).alias("s"))
-            .agg(F.array_sort(F.collect_list("s")).alias("all"))
-            .select(F.transform("all", lambda s: s["upper"]))).scalar()
+    upper = F.char(64 + F.floor(F.log2(F.coalesce("times", F.lit(1)))))
+    whole = (lines.sparkSession.range(SLOTS).withColumnRenamed("id", "slot")
+             .join(counts, "slot", "left")
+             .select(F.struct("slot", upper.alias("upper")).alias("s"))
+             .agg(F.array_sort(F.collect_list("s")).alias("all"))
+             .select(F.array_join(F.transform("all", lambda s: s["upper"]), "").alias("table")))
+    return F.lit(bytearray(whole.first()["table"].encode("ascii")))
+
+
+def numbers(line: Column, table: Column) -> Column:
+    """The numbers of the distinct words of a line, rarest first."""
+    def number(h: Column) -> Column:
+        slot = h.bitwiseAND(SLOTS - 1).cast("int") + 1
+        upper = F.ascii(F.substring(table, slot, F.lit(1))).cast("long") - 64
+        return F.shiftleft(upper, 57).bitwiseOR(h.bitwiseAND(_HASH))
+
+    return F.sort_array(F.transform(word_hashes(line), number))
+
+
+def flipped(words: Column) -> Column:
+    """A map of 64 bits, in which each word flips one."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
 
 
 def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
             threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, first) and (id, n, bits, prefix) of each distinct set; `first` is its first place."""
-    upper = rarity(docs, text_col)
+    """(id, first) and (id, n, b0 to b3, prefix) of each distinct set; `first` is its first place.
+
+    Maps of more than LONG words have 64 bits for each of four parts of the words, others only b0.
+    """
     lines = lines_of(docs, row_col, id_col, text_col)
-    # functions of array elements may refer to columns, but not to subqueries
-    numbered = lines.withColumn("upper", upper).select(
-        "doc_id", "row", "no", F.sort_array(F.array_distinct(F.transform(
-            word_hashes(F.col("line")),
-            lambda h: F.get("upper", h.bitwiseAND(SLOTS - 1)).bitwiseOR(
-                h.bitwiseAND(_HASH))))).alias("set")).where(F.size("set") > 0)
+    numbered = lines.select("doc_id", "row", "no", numbers(F.col("line"), rarity(lines)).alias(
+        "set")).where(F.size("set") > 0)
     n = F.size("set")
-    kept = (n - F.ceil(n * F.lit(threshold) - 1e-9) + 1).cast("int")
+    kept = (n - F.ceil(n * F.lit(threshold) - 1e-9) + 2).cast("int")
+    long = n > LONG
+
+    def part(k: int) -> Column:
+        return flipped(F.filter("set", lambda x: F.shiftright(x, 6).bitwiseAND(3) == k))
+
+    maps = [F.when(long, part(k)).otherwise(F.lit(0).cast("long") if k else flipped(F.col("set")))
+            .alias(name) for k, name in enumerate(_MAPS)]
     described = numbered.select(
         F.xxhash64("set").alias("h1"), F.xxhash64("set", F.lit(7)).alias("h2"),
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "no").alias("first"),
-        F.struct(n.alias("n"), F.aggregate("set", F.lit(0).cast("long"), lambda bits, x: bits
-                                           .bitwiseOR(F.call_function(
-                                               "shiftleft", F.lit(1).cast("long"),
-                                               x.bitwiseAND(63).cast("int")))).alias("bits"),
-                 F.slice("set", F.lit(1), kept).alias("prefix")).alias("about"))
+        F.struct(n.alias("n"), *maps, F.slice("set", F.lit(1), kept).alias("prefix")).alias(
+            "about"))
     one = described.groupBy("h1", "h2").agg(F.min("first").alias("first"),
                                             F.first("about").alias("about"))
     whole = stored(one.select(F.monotonically_increasing_id().alias("id"), "first", "about.*"),
@@ -98,52 +130,96 @@ def similar(a: Column, b: Column, threshold: float) -> Column:
     return common >= F.lit(threshold) * (F.size(a) + F.size(b) - common) - 1e-9
 
 
-def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, text_col: str,
-            threshold: float, group: int) -> DataFrame:
-    """(id) of the classes whose first line goes; empties the table `sets` when it has been read."""
-    met = Window.partitionBy("word")
-    rows = (sets.select("id", "n", "bits", F.posexplode("prefix").alias("at", "word"))
-            .withColumn("sets", F.count("*").over(met)))
-    a, b = rows.alias("a"), rows.alias("b")
-    few = F.col("a.sets").between(2, group)
-    # words that only one of two similar sets has: at most this share of both sizes
-    share = (1 - threshold) / (1 + threshold)
+def likely(threshold: float) -> Column:
+    """Length, positional and bitmap filters on rows `a` and `b` that meet at their first key."""
+    share = (1 - threshold) / (1 + threshold)  # of both sizes: words that only one set has
     total = F.col("a.n") + F.col("b.n")
-    likely = (
-        (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= share * total + 1e-9)
-        & (F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-9)
-        & (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-           >= (1 - share) / 2 * total - 1e-9))
-    pairs = (a.where(few).join(b.where(F.col("b.sets").between(2, group)),
-                               (F.col("a.word") == F.col("b.word"))
-                               & (F.col("a.id") < F.col("b.id")) & likely)
-             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    apart = [F.col(f"a.{m}").bitwiseXOR(F.col(f"b.{m}")) for m in _MAPS]
+    folded = apart[0].bitwiseXOR(apart[1]).bitwiseXOR(apart[2]).bitwiseXOR(apart[3])
+    bits = F.when((F.col("a.n") > LONG) & (F.col("b.n") > LONG),
+                  sum((F.bit_count(x) for x in apart[1:]), F.bit_count(apart[0]))
+                  ).otherwise(F.bit_count(folded))
+    return ((F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-9)
+            & (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+               >= (1 - share) / 2 * total - 1e-9)
+            & (bits <= share * total + 1e-9))
+
+
+def first_words(n: Column, threshold: float) -> Column:
+    """How many of the rarest words of the smaller of two similar sets hold the first common one."""
+    return n - F.ceil(n * F.lit(2 * threshold / (1 + threshold)) - 1e-9) + 1
+
+
+def met(rows: DataFrame, threshold: float, group: int) -> DataFrame:
+    """Stored candidate pairs (a, b) of keys of at most `group` sets, and (key, id, at, sets) of
+    the others. `rows` holds (key, id, n, at, b0 to b3); `fore` marks what the smaller set needs."""
+    counted = rows.withColumn("sets", F.count("*").over(Window.partitionBy("key")))
+    few = F.col("sets").between(2, group)
+    a, b = counted.where(few & F.col("fore")).alias("a"), counted.where(few).alias("b")
+    smaller = (F.col("a.n") < F.col("b.n")) | (
+        (F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & likely(threshold)).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     # one job, so that the prefix words are dealt out once
-    found = stored(pairs.unionByName(
-        rows.where(F.col("sets") > group).select("word", "id", "n", "bits", "at"),
-        allowMissingColumns=True), "pairs")
+    return stored(pairs.unionByName(counted.where(F.col("sets") > group).select(
+        "key", "id", "at", "sets"), allowMissingColumns=True), "pairs")
+
+
+def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) to verify, and (key, id, n, at, b0 to b3, sets) of keys of more sets.
+
+    Empties the table `sets` when it has been read.
+    """
+    about = ["id", "n", *_MAPS]
+    fore = first_words(F.col("n"), threshold)
+    plain = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    by_word = sets.select(*about, F.posexplode(F.slice("prefix", F.lit(1), plain)).alias(
+        "at", "key"))
+    one = met(by_word.withColumn("fore", F.col("at") < fore), threshold, group)
+    hot = one.where("id is not null").select("key", "id", "at").join(sets, "id")
+    # sets that may share no more than one word with a similar one have a key without a second
+    second = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
+    second = F.when(F.col("n") * threshold <= 1, F.concat(second, F.array(F.lit(0).cast("long")))
+                    ).otherwise(second)
+    by_two = hot.select(*about, "at", F.col("key").alias("word"),
+                        F.posexplode(second).alias("step", "next"))
+    two = met(by_two.select(
+        *about, "at", F.xxhash64("word", "next").alias("key"),
+        ((F.col("at") < fore) & ((F.col("at") + F.col("step") < fore)
+                                 | (F.col("n") * threshold <= 1))).alias("fore")),
+        threshold, group)
+    many = two.where("id is not null").select("key", "id", "at", "sets").join(
+        sets.select(*about), "id")
+    many = stored(many, "many")
     release(sets)
-    pairs = found.where("a is not null").select("a", "b")
-    many = found.where("id is not null").select("word", "id", "n", "bits", "at")
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("id"))
-              .unionAll(many.select("id")).distinct().join(places, "id"))
-    by_row = wanted.groupBy(F.col("first.row").alias("row")).agg(
+    pairs = one.where("a is not null").select("a", "b").unionAll(
+        two.where("a is not null").select("a", "b"))
+    return stored(pairs.distinct(), "candidates"), many
+
+
+def whole_sets(docs: DataFrame, ids: DataFrame, places: DataFrame, row_col: str,
+               text_col: str) -> DataFrame:
+    """Stored (id, set, first) of the classes `ids`, read from the texts of their first lines."""
+    by_row = ids.join(places, "id").groupBy(F.col("first.row").alias("row")).agg(
         F.map_from_entries(F.collect_list(F.struct("first.no", "id"))).alias("ids"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    whole = stored(
+    return stored(
         docs.select(F.col(f"`{row_col}`").cast("long").alias("row"), text.alias("text"))
         .join(by_row, "row").select("ids", F.posexplode(F.split("text", "\n")).alias("no", "line"))
         .select(F.col("ids")[F.col("no")].alias("id"), "line").where("id is not null")
-        .select("id", F.array_distinct(word_hashes(F.col("line"))).alias("set"))
-        .join(places, "id"), "sets")
+        .select("id", word_hashes(F.col("line")).alias("set")).join(places, "id"), "sets")
+
+
+def removed_in_pairs(pairs: DataFrame, whole: DataFrame, places: DataFrame,
+                     threshold: float) -> DataFrame:
+    """Stored (id) of the later classes of the pairs that are similar."""
     early = places.select(F.col("id").alias("a"), F.col("first").alias("fa"))
     late = places.select(F.col("id").alias("b"), F.col("first").alias("fb"))
     turn = F.col("fa") < F.col("fb")
-    ordered = pairs.join(early, "a").join(late, "b").select(
+    ordered = stored(pairs.join(early, "a").join(late, "b").select(
         F.when(turn, F.col("a")).otherwise(F.col("b")).alias("early"),
         F.when(turn, F.col("b")).otherwise(F.col("a")).alias("late"),
-        F.least("fa", "fb").alias("place"))
-    ordered = stored(ordered, "ordered")
+        F.least("fa", "fb").alias("place")), "ordered")
 
     def matched(candidates: DataFrame) -> DataFrame:
         sets_of = whole.select("id", "set")
@@ -157,13 +233,37 @@ def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, t
     at_once = stored(matched(earliest).distinct(), "lines")
     rest = ordered.select("early", "late").join(
         at_once.withColumnRenamed("id", "late"), "late", "left_anti")
-    by_pair = at_once.unionAll(matched(rest))
-    carried = many.join(whole, "id")
-    a, b = carried.alias("a"), carried.alias("b")
-    by_word = b.join(
-        a, (F.col("a.word") == F.col("b.word")) & (F.col("a.first") < F.col("b.first")) & likely
-        & similar(F.col("a.set"), F.col("b.set"), threshold), "left_semi").select("id")
-    return by_pair.unionAll(by_word).distinct()
+    return stored(at_once.unionAll(matched(rest)).distinct(), "lines")
+
+
+def removed_in_blocks(many: DataFrame, whole: DataFrame, gone: DataFrame, threshold: float,
+                      group: int) -> DataFrame:
+    """(id) of the classes, beyond `gone`, that have an earlier similar one at a key of many sets."""
+    blocks = F.ceil(F.col("sets") / group).cast("int")
+    carried = many.join(whole, "id").withColumns(
+        {"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
+
+    def matched(late: DataFrame) -> DataFrame:
+        a, b = carried.alias("a"), late.alias("b")
+        return b.join(
+            a, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
+            & (F.col("a.first") < F.col("b.first")) & likely(threshold)
+            & similar(F.col("a.set"), F.col("b.set"), threshold), "left_semi").select("id")
+
+    own = stored(matched(carried.join(gone, "id", "left_anti")).distinct(), "lines")
+    rest = carried.join(gone.unionAll(own), "id", "left_anti").withColumn("block", F.explode(
+        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))))
+    return own.unionAll(matched(rest))
+
+
+def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, text_col: str,
+            threshold: float, group: int) -> DataFrame:
+    """(id) of the classes whose first line goes; empties the table `sets` when it has been read."""
+    pairs, many = candidates(sets, threshold, group)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(many.select("id"))
+    whole = whole_sets(docs, ids.distinct(), places, row_col, text_col)
+    gone = removed_in_pairs(pairs, whole, places, threshold)
+    return gone.unionAll(removed_in_blocks(many, whole, gone, threshold, group)).distinct()
 
 
 def kept_lines(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text",
