@@ -27,6 +27,8 @@ whole; an empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ from tidemark.llm.common import release, stored
 THRESHOLD = 0.8
 GROUP = 512  # sets with a prefix word, up to which pairs are emitted
 SLOTS = 1 << 18  # of the table of counts: 256 KB, whatever the size of the corpus
-LONG = 80  # words, above which a set has a map of 256 bits instead of 64
-_MAPS = ["b0", "b1", "b2", "b3"]
+STEPS = 23  # of a size class in a power of e: 4.4 % each, exact below 23 words
+LONG = 96  # size class (65 words) from which a set has a map of two parts
+_BITS = 45  # of one part
+_FIELD = 512  # size classes, and shares of a set before a word
 _HASH = (1 << 57) - 1
 _EMPTY = -7444071767201028348  # xxhash64 of the empty string with the default seed
 _SPACES = "\t\r\x0b\x0c"
@@ -90,33 +94,40 @@ def numbers(line: Column, table: Column) -> Column:
 
 
 def flipped(words: Column) -> Column:
-    """A map of 64 bits, in which each word flips one."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+    """A map of 45 bits, in which each word flips one."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), (F.shiftright(x, 6) % _BITS).cast("int"))))
+
+
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) * STEPS).cast("long")
+
+
+def least_size(size: Column) -> Column:
+    return F.exp(size / STEPS)
 
 
 def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
             threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, first) and (id, n, b0 to b3, prefix) of each distinct set; `first` is its first place.
+    """(id, first) and (id, n, map, second, prefix) of each distinct set; `first` is its first place.
 
-    Maps of more than LONG words have 64 bits for each of four parts of the words, others only b0.
+    Long sets have the other part of their map in `second`, which is 0 for the others.
     """
     lines = lines_of(docs, row_col, id_col, text_col)
     numbered = lines.select("doc_id", "row", "no", numbers(F.col("line"), rarity(lines)).alias(
         "set")).where(F.size("set") > 0)
     n = F.size("set")
     kept = (n - F.ceil(n * F.lit(threshold) - 1e-9) + 2).cast("int")
-    long = n > LONG
-
-    def part(k: int) -> Column:
-        return flipped(F.filter("set", lambda x: F.shiftright(x, 6).bitwiseAND(3) == k))
-
-    maps = [F.when(long, part(k)).otherwise(F.lit(0).cast("long") if k else flipped(F.col("set")))
-            .alias(name) for k, name in enumerate(_MAPS)]
+    long = size_class(n) >= LONG
+    # the parts are made so that both together (exclusive or) are the map of the whole set
+    first, second = (flipped(F.filter("set", lambda x: (F.shiftright(x, 6) % (2 * _BITS) < _BITS)
+                                      == F.lit(own))) for own in (True, False))
+    parts = [F.when(long, first).otherwise(flipped(F.col("set"))).alias("map"),
+             F.when(long, second).otherwise(F.lit(0).cast("long")).alias("second")]
     described = numbered.select(
         F.xxhash64("set").alias("h1"), F.xxhash64("set", F.lit(7)).alias("h2"),
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "no").alias("first"),
-        F.struct(n.alias("n"), *maps, F.slice("set", F.lit(1), kept).alias("prefix")).alias(
+        F.struct(n.alias("n"), *parts, F.slice("set", F.lit(1), kept).alias("prefix")).alias(
             "about"))
     one = described.groupBy("h1", "h2").agg(F.min("first").alias("first"),
                                             F.first("about").alias("about"))
@@ -130,71 +141,98 @@ def similar(a: Column, b: Column, threshold: float) -> Column:
     return common >= F.lit(threshold) * (F.size(a) + F.size(b) - common) - 1e-9
 
 
+def packed(n: Column, at: Column, fore: Column, bits: Column) -> Column:
+    """Of a set that meets others at a word: map, size class, share before the word, and whether
+    the word is in the prefix that a smaller set needs (the sign), in one number."""
+    share = F.floor(at * _FIELD / n).cast("long")
+    about = bits.bitwiseOR(F.shiftleft(size_class(n), _BITS)).bitwiseOR(
+        F.shiftleft(share, _BITS + 9))
+    return F.when(fore, about.bitwiseOR(-(1 << 63))).otherwise(about)
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """`rows` with `size`, `least` (words a set has at least) and `left` (that it has at most from
+    the word on) for the filters."""
+    about = F.col("about")
+    size = F.shiftright(about, _BITS).bitwiseAND(_FIELD - 1)
+    share = F.shiftright(about, _BITS + 9).bitwiseAND(_FIELD - 1)
+    return rows.withColumn("size", size).withColumns({
+        "least": least_size(F.col("size")),
+        "left": least_size(F.col("size") + 1) * (1 - share / _FIELD),
+        "map": about.bitwiseAND((1 << _BITS) - 1)})
+
+
 def likely(threshold: float) -> Column:
-    """Length, positional and bitmap filters on rows `a` and `b` that meet at their first key."""
+    """Length, positional and bitmap filters on rows `a` and `b` that meet at their first key.
+
+    Sizes are known by class, so a filter takes the bound that drops no similar pair.
+    """
+    apart = F.col("a.map").bitwiseXOR(F.col("b.map"))
+    others = F.col("a.second").bitwiseXOR(F.col("b.second"))
+    bits = F.when((F.col("a.size") >= LONG) & (F.col("b.size") >= LONG),
+                  F.bit_count(apart) + F.bit_count(others)).otherwise(
+        F.bit_count(apart.bitwiseXOR(others)))
+    least = F.col("a.least") + F.col("b.least")
     share = (1 - threshold) / (1 + threshold)  # of both sizes: words that only one set has
-    total = F.col("a.n") + F.col("b.n")
-    apart = [F.col(f"a.{m}").bitwiseXOR(F.col(f"b.{m}")) for m in _MAPS]
-    folded = apart[0].bitwiseXOR(apart[1]).bitwiseXOR(apart[2]).bitwiseXOR(apart[3])
-    bits = F.when((F.col("a.n") > LONG) & (F.col("b.n") > LONG),
-                  sum((F.bit_count(x) for x in apart[1:]), F.bit_count(apart[0]))
-                  ).otherwise(F.bit_count(folded))
-    return ((F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-9)
-            & (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-               >= (1 - share) / 2 * total - 1e-9)
-            & (bits <= share * total + 1e-9))
+    return ((F.abs(F.col("a.size") - F.col("b.size")) <= STEPS * math.log(1 / threshold) + 1 + 1e-6)
+            & (F.least("a.left", "b.left") >= (1 - share) / 2 * least - 1e-6)
+            & (bits <= share * math.exp(1 / STEPS) * least + 1e-6))
 
 
 def first_words(n: Column, threshold: float) -> Column:
-    """How many of the rarest words of the smaller of two similar sets hold the first common one."""
-    return n - F.ceil(n * F.lit(2 * threshold / (1 + threshold)) - 1e-9) + 1
-
-
-def met(rows: DataFrame, threshold: float, group: int) -> DataFrame:
-    """Stored candidate pairs (a, b) of keys of at most `group` sets, and (key, id, at, sets) of
-    the others. `rows` holds (key, id, n, at, b0 to b3); `fore` marks what the smaller set needs."""
-    counted = rows.withColumn("sets", F.count("*").over(Window.partitionBy("key")))
-    few = F.col("sets").between(2, group)
-    a, b = counted.where(few & F.col("fore")).alias("a"), counted.where(few).alias("b")
-    smaller = (F.col("a.n") < F.col("b.n")) | (
-        (F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
+    """How many of the rarest words of a set hold the first it has in common with a similar set
+    of its own or a larger size class."""
+    both = n + least_size(size_class(n))
+    return n - F.ceil(both * F.lit(threshold / (1 + threshold) * (1 - 1e-9))) + 1
+
+
+def met(rows: DataFrame, threshold: float, group: int) -> tuple[DataFrame, DataFrame]:
+    """Stored candidate pairs (a, b) of keys of at most `group` sets, and (key, id, about, second,
+    sets) of the others. `rows` holds (key, id, about, second)."""
+    # the filter and the columns are the same for all readers, who thus share one shuffle
+    counted = rows.where("key is not null").withColumn(
+        "sets", F.count("*").over(Window.partitionBy("key")))
+    few = unpacked(counted.where(F.col("sets").between(2, group)))
+    a, b = few.where("about < 0").alias("a"), few.alias("b")
+    smaller = (F.col("a.size") < F.col("b.size")) | (
+        (F.col("a.size") == F.col("b.size")) & (F.col("b.about") < 0)
+        & (F.col("a.id") < F.col("b.id")))
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & likely(threshold)).select(
         F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     # one job, so that the prefix words are dealt out once
-    return stored(pairs.unionByName(counted.where(F.col("sets") > group).select(
-        "key", "id", "at", "sets"), allowMissingColumns=True), "pairs")
+    many = counted.where(F.col("sets") > group)
+    found = stored(pairs.unionByName(many, allowMissingColumns=True), "pairs")
+    # stored alone, so that its size says how to join it
+    return (found.where("a is not null").select("a", "b"),
+            stored(found.where("id is not null").drop("a", "b"), "many"))
 
 
 def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) to verify, and (key, id, n, at, b0 to b3, sets) of keys of more sets.
+    """Pairs (a, b) to verify, and (key, id, about, second, sets) of keys of more sets.
 
     Empties the table `sets` when it has been read.
     """
-    about = ["id", "n", *_MAPS]
-    fore = first_words(F.col("n"), threshold)
-    plain = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
-    by_word = sets.select(*about, F.posexplode(F.slice("prefix", F.lit(1), plain)).alias(
-        "at", "key"))
-    one = met(by_word.withColumn("fore", F.col("at") < fore), threshold, group)
-    hot = one.where("id is not null").select("key", "id", "at").join(sets, "id")
-    # sets that may share no more than one word with a similar one have a key without a second
-    second = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
-    second = F.when(F.col("n") * threshold <= 1, F.concat(second, F.array(F.lit(0).cast("long")))
-                    ).otherwise(second)
-    by_two = hot.select(*about, "at", F.col("key").alias("word"),
-                        F.posexplode(second).alias("step", "next"))
-    two = met(by_two.select(
-        *about, "at", F.xxhash64("word", "next").alias("key"),
-        ((F.col("at") < fore) & ((F.col("at") + F.col("step") < fore)
-                                 | (F.col("n") * threshold <= 1))).alias("fore")),
+    n, at = F.col("n"), F.col("at")
+    fore = first_words(n, threshold)
+    plain = (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")
+    by_word = sets.select("id", "n", "map", "second", F.posexplode(
+        F.slice("prefix", F.lit(1), plain)).alias("at", "key"))
+    pairs, hot = met(by_word.select(
+        "key", "id", packed(n, at, at < fore, F.col("map")).alias("about"), "second"),
         threshold, group)
-    many = two.where("id is not null").select("key", "id", "at", "sets").join(
-        sets.select(*about), "id")
-    many = stored(many, "many")
+    # sets that may share no more than one word with a similar one have a key without a second
+    tail = F.slice("prefix", at + 2, F.size("prefix"))
+    alone = n * threshold <= 1
+    tail = F.when(alone, F.concat(tail, F.array(F.lit(0).cast("long")))).otherwise(tail)
+    by_two = hot.select("id", F.col("key").alias("word")).join(sets, "id").withColumn(
+        "at", (F.array_position("prefix", F.col("word")) - 1).cast("int")).select(
+        "id", "n", "map", "second", "at", "word", F.posexplode(tail).alias("step", "next"))
+    more, many = met(by_two.select(
+        F.xxhash64("word", "next").alias("key"), "id",
+        packed(n, at, (at < fore) & ((at + F.col("step") < fore) | alone), F.col("map")).alias(
+            "about"), "second"), threshold, group)
     release(sets)
-    pairs = one.where("a is not null").select("a", "b").unionAll(
-        two.where("a is not null").select("a", "b"))
-    return stored(pairs.distinct(), "candidates"), many
+    return stored(pairs.unionAll(more).distinct(), "candidates"), many
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, places: DataFrame, row_col: str,
@@ -240,7 +278,7 @@ def removed_in_blocks(many: DataFrame, whole: DataFrame, gone: DataFrame, thresh
                       group: int) -> DataFrame:
     """(id) of the classes, beyond `gone`, that have an earlier similar one at a key of many sets."""
     blocks = F.ceil(F.col("sets") / group).cast("int")
-    carried = many.join(whole, "id").withColumns(
+    carried = unpacked(many).join(whole, "id").withColumns(
         {"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
 
     def matched(late: DataFrame) -> DataFrame:
