@@ -113,6 +113,52 @@ def test_line_dedup(documents, group):
     assert got == dict(kept_by_force(rows))
 
 
+def crowded(seed=4):
+    """Lines most of which hold two words that sort before others by chance of their counts, one
+    word in a third of all lines, families of variants, and lines of one and two words."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(90):
+        words = [f"own{i}x{j}" for j in range(rng.randint(3, 9))] + rng.choices(WORDS, k=4)
+        if i % 3 == 0:
+            words.append("everywhere")
+        rows.append((i, " ".join(words)))
+    for f in range(3):
+        base = [f"family{f}x{j}" for j in range(12)]
+        for i in range(25):
+            words = list(base)
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(12)] = rng.choice(WORDS)
+            rows.append((100 + 30 * f + i, " ".join(words)))
+    long = rng.choices([f"l{j}" for j in range(900)], k=150)
+    for i in range(12):
+        words = list(long)
+        for _ in range(rng.randint(0, 30)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((300 + i, " ".join(words[: rng.randint(50, 150)])))
+    rows += [(400 + i, " ".join(p)) for i, p in enumerate([["a"], ["a", "b"], ["b"], ["b", "a"],
+                                                            ["c", "a"], ["a", "b", "c"]])]
+    return rows
+
+
+@pytest.mark.parametrize("threshold, group", [(0.8, 512), (0.8, 3), (0.5, 2)])
+def test_line_dedup_of_frequent_words(documents, threshold, group):
+    docs = numbered(documents(crowded()))
+    rows = [(r["__row"], r["doc_id"], r["text"]) for r in docs.orderBy("__row").collect()]
+    place = {row: i for i, (row, _, _) in enumerate(rows)}
+    got = {place[r["row"]]: r["kept"] for r in line_dedup.kept_lines(
+        docs, "__row", threshold=threshold, group=group).collect()}
+    want = dict(kept_by_force([r[1:] for r in rows], threshold))
+    assert len(want) < len(rows) and got == want
+
+
+def test_lines_with_words(spark):
+    lines = ["", " ", "\t \r", "\x0b\x0c", " a", "\tb ", "\u00a0", "é"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert [r[0] for r in df.select(line_dedup.has_words(df["line"])).collect()] == [
+        False, False, False, False, True, True, True, True]
+
+
 def test_line_dedup_texts(documents):
     docs = numbered(documents([(2, "a b c\n\nd e f"), (1, "d e f\nx"), (3, None), (4, "a b c")]))
     out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs, "__row").collect()}

@@ -319,7 +319,7 @@ def kept_lines(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col:
 
 
 def has_words(line: Column) -> Column:
-    return F.length(F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))) > 0
+    return F.length(F.ltrim(line, F.lit(" " + _SPACES))) > 0
 
 
 def dedup(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text",
