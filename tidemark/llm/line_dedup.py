@@ -16,9 +16,9 @@ or more with it, whether that one stays or goes.
    that meet at a word of more than `GROUP` sets meet at two words instead.
 5. Verification of whole sets. Pairs are emitted only at keys of at most `GROUP` sets. At two words
    of more sets, these are dealt into blocks of about `GROUP`, in which a left semi join with the
-   whole sets stops at the first earlier similar one. The few lines that find none in their own
-   block are then compared with the other blocks. No pairs are emitted, however large the group,
-   and no task has more than a block of it.
+   whole sets stops at the first earlier similar one. Each line first looks in its own block at the
+   least of its keys; the few that find none are then compared with all blocks at all their keys.
+   No pairs are emitted, however large the group, and a join's key is one block of it.
 
 Defined cases: null text counts as empty; a line without words is kept and never matches; null ids
 come last; repeated rows lose their lines to the first of them; very long lines and texts are read
@@ -278,20 +278,23 @@ def removed_in_blocks(many: DataFrame, whole: DataFrame, gone: DataFrame, thresh
                       group: int) -> DataFrame:
     """(id) of the classes, beyond `gone`, that have an earlier similar one at a key of many sets."""
     blocks = F.ceil(F.col("sets") / group).cast("int")
-    carried = unpacked(many).join(whole, "id").withColumns(
+    dealt = unpacked(many).withColumns(
         {"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
 
-    def matched(late: DataFrame) -> DataFrame:
-        a, b = carried.alias("a"), late.alias("b")
+    def matched(late: DataFrame, early: DataFrame) -> DataFrame:
+        a, b = early.join(whole, "id").alias("a"), late.join(whole, "id").alias("b")
         return b.join(
             a, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
             & (F.col("a.first") < F.col("b.first")) & likely(threshold)
             & similar(F.col("a.set"), F.col("b.set"), threshold), "left_semi").select("id")
 
-    own = stored(matched(carried.join(gone, "id", "left_anti")).distinct(), "lines")
-    rest = carried.join(gone.unionAll(own), "id", "left_anti").withColumn("block", F.explode(
-        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))))
-    return own.unionAll(matched(rest))
+    # similar sets have most keys in common, so most find an earlier one at the least of them
+    least = dealt.join(dealt.groupBy("id").agg(F.min("key").alias("key")), ["id", "key"])
+    own = stored(matched(least.join(gone, "id", "left_anti"), least).distinct(), "lines")
+    rest = stored(dealt.join(gone.unionAll(own), "id", "left_anti"), "rest")
+    early = dealt.join(rest.select("key").distinct(), "key", "left_semi")
+    late = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return own.unionAll(matched(late, early))
 
 
 def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, text_col: str,
