@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import allocate
+from tidemark.sources import files
 
 
 def plain_split(total, shares):
@@ -237,3 +238,31 @@ def test_cut_and_whole_groups_give_the_same_to_the_last_bit(spark, monkeypatch,
     for _, g, _, _, n in cut:
         totals[g] = totals.get(g, 0) + n
     assert set(totals.values()) == {777_771}
+
+
+def rows_by_task(df):
+    counted = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    return [r.n for r in counted.collect()]
+
+
+@pytest.mark.parametrize("name", ["normalised_weights", "apportion", "apportion_by_weight"])
+def test_larger_files_are_dealt_to_more_tasks(spark, monkeypatch, tmp_path, name):
+    """Rows of a task do not grow with the files; the shares stay the same."""
+    spark.range(20_000, numPartitions=3).select(
+        (F.col("id") % 6000).alias("g"), F.col("id").alias("pos"), F.lit(1001).alias("total"),
+        (F.col("id") % 97 + 1).cast("double").alias("w"), (1 / (1 + F.col("id") % 3)).alias("share"),
+    ).write.parquet(f"{tmp_path}/of rows")
+    df = spark.read.parquet(f"{tmp_path}/of rows")
+    size = files.bytes_read(df)
+    assert size == sum(p.stat().st_size for p in (tmp_path / "of rows").glob("*.parquet"))
+    assert allocate.parts_of(df) is None
+    weight = {"apportion": ["total", "share"], "apportion_by_weight": ["total", "w"],
+              "normalised_weights": ["w"]}[name]
+    items = df if name == "apportion" else df.drop("share")
+    few = getattr(allocate, name)(items, ["g"], *weight, "pos")
+    want = sorted(few.collect())
+    monkeypatch.setattr(allocate, "PART", -(-size // 100))
+    many = getattr(allocate, name)(items, ["g"], *weight, "pos")
+    sizes = rows_by_task(many)
+    assert sum(sizes) == 20_000 and max(sizes) < 600
+    assert sorted(many.collect()) == want

@@ -6,6 +6,9 @@ is cut into cells, ordered by rank and each about 1/``CUTS`` of all rows; its to
 before each cell come by broadcast, as they are few. Other groups are one cell. Nothing runs while
 the plan is made.
 
+That shuffle has as many partitions as the files read make up ``PART``, so that a task sorts about
+as many rows however large they are; of small files, as many as the session sets.
+
 Sums of weights are whole numbers: each weight is scaled by the largest exponent of its group, a
 power of two, and cut into limbs of ``BITS`` bits. So they are exact to 2**-104 of the largest
 weight, do not depend on the order of rows, and weights may have any scale.
@@ -26,13 +29,27 @@ from ..fields import (
 from ..functions.scalars import (
     active_review_signal, agent_signal, finite_number, passive_review_signal,
 )
+from ..sources.files import bytes_read
 
 SHARE = 1024
 CUTS = 1024  # over all large groups
 _BLOCK = 32  # cuts compared at a time
+PART = 8 << 20  # bytes of files for each partition of a shuffle
+_MOST_PARTS = 1 << 14
 BITS, _LIMBS = 26, ("_limb0", "_limb1", "_limb2", "_limb3")  # sums hold 2**35 rows of a group
 
 
+def parts_of(df: DataFrame) -> int | None:
+    """Partitions of a shuffle of `df`, by its files; None if the session's number is enough."""
+    n = min(-(-bytes_read(df) // PART), _MOST_PARTS)
+    return n if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(rows: DataFrame, n: int | None, keys: Sequence[str]) -> DataFrame:
+    """`rows` by keys in `n` partitions, for an operator that needs them so; None leaves it to it."""
+    return rows if n is None else rows.repartition(n, *keys)
+
+
 def _exponent(weight: Column) -> Column:
     """Of the largest power of two below a weight (or one off); null for zero."""
     return F.when(weight != 0, F.floor(F.log2(F.abs(weight))).cast("int"))
@@ -178,6 +195,7 @@ def normalised_weights(
     spread = F.pmod(F.xxhash64(position), F.lit(CUTS))
     rows = _with(rows, large.known, group).withColumn(
         "_cell", F.when(F.col("_s").isNotNull(), spread).otherwise(F.lit(0)))
+    rows = dealt(rows, parts_of(items), [*group, "_cell"])
     return _with_shares(rows, Window.partitionBy(*group, "_cell")).drop(*_HELPERS)
 
 
@@ -216,7 +234,8 @@ def apportion(
     large.add_cuts(parts)
     rows = _with(items, large.known, group)
     rows = parts(rows).withColumn("_cell", _cell(position))
-    return _allotted(_with(rows, large.rows_before(parts), [*group, "_cell"]), group, position, out)
+    rows = _with(rows, large.rows_before(parts), [*group, "_cell"])
+    return _allotted(dealt(rows, parts_of(items), [*group, "_cell"]), group, position, out)
 
 
 def apportion_by_weight(
@@ -242,6 +261,7 @@ def apportion_by_weight(
     rows = parts(_with(rows, large.known, group)).withColumn("_cell", _cell(position))
     rows = _with(rows.drop("share", "_base", "_frac", "_total"), large.rows_before(parts),
                  [*group, "_cell"])
+    rows = dealt(rows, parts_of(items), [*group, "_cell"])
     shared = _with_shares(rows, Window.partitionBy(*group, "_cell"))
     return _allotted(_parts(shared, total, "share"), group, position, out)
 

@@ -397,12 +397,17 @@ def infra_languages(spark, sf):
 def _order_items(spark, sf):
     """Quantity per part of each order, boosted by return status, with the order total."""
     items = spark.read.parquet(f"{sf}/lineitem.parquet")
-    boosted = F.col("l_quantity") * F.when(F.col("l_returnflag") == "R", 3.0).otherwise(2.0)
-    lines = items.groupBy("l_orderkey", "l_partkey").agg(F.sum(boosted).alias("weight"))
     orders = spark.read.parquet(f"{sf}/orders.parquet").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.floor("o_totalprice").cast("bigint").alias("total"),
     )
+    n = allocate.parts_of(items)
+    boosted = F.col("l_quantity") * F.when(F.col("l_returnflag") == "R", 3.0).otherwise(2.0)
+    boosted = items.select("l_orderkey", "l_partkey", boosted.alias("boosted"))
+    keys = ["l_orderkey", "l_partkey"]
+    lines = allocate.dealt(boosted, n, keys).groupBy(*keys).agg(F.sum("boosted").alias("weight"))
+    if n is not None:  # orders of few bytes are still many rows, which each task would get whole
+        orders = allocate.dealt(orders, n, ["l_orderkey"]).hint("merge")
     return lines.join(orders, "l_orderkey")
 
 

@@ -1,4 +1,4 @@
-"""Operations on single small files, which readers and writers of frames do not have."""
+"""Operations on single files, which readers and writers of frames do not have."""
 
 from __future__ import annotations
 
@@ -6,10 +6,10 @@ import os
 import shutil
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def _opened(spark: SparkSession, path: str):
+def _opened(spark: SparkSession, path):
     """The Hadoop path and its file system, as the cluster resolves them."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -84,6 +84,16 @@ def text_of(spark: SparkSession, path: str) -> str:
         return f.read()
 
 
+def bytes_read(df: DataFrame) -> int:
+    """Size of the files below a frame, each counted once; 0 if it reads none. Runs no job."""
+    uri = df.sparkSession.sparkContext._jvm.java.net.URI  # the names of input files are encoded
+    total = 0
+    for name in set(df.inputFiles()):
+        target, system = _opened(df.sparkSession, uri(name))
+        total += system.getFileStatus(target).getLen()
+    return total
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or a folder with all in it; one that is gone already is no error."""
     target, system = _opened(spark, path)
