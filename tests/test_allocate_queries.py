@@ -35,3 +35,10 @@ def test_tasks_hold_as_many_rows_of_larger_files(spark, monkeypatch, tables, nam
     assert "SortMergeJoin [l_orderkey" in plan
     assert "BroadcastHashJoin [l_orderkey" not in plan
     assert sorted(many.collect()) == want
+
+
+def test_well_packed_files_make_no_large_tasks(spark, tmp_path):
+    path = str(tmp_path / "items")
+    spark.range(3_000_000, numPartitions=4).select(F.rand(1).alias("x")).write.parquet(path)
+    parts = allocate.parts_of(spark.read.parquet(path))
+    assert parts is not None and 3_000_000 / parts < 400_000

@@ -34,7 +34,7 @@ from ..sources.files import bytes_read
 SHARE = 1024
 CUTS = 1024  # over all large groups
 _BLOCK = 32  # cuts compared at a time
-PART = 8 << 20  # bytes of files for each partition of a shuffle
+PART = 2 << 20  # bytes of files for each partition of a shuffle
 _MOST_PARTS = 1 << 14
 BITS, _LIMBS = 26, ("_limb0", "_limb1", "_limb2", "_limb3")  # sums hold 2**35 rows of a group
 
