@@ -152,6 +152,16 @@ def test_line_dedup_of_frequent_words(documents, threshold, group):
     assert len(want) < len(rows) and got == want
 
 
+def test_line_dedup_pairs_of_long_lines_are_few(documents):
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(1500)]
+    docs = numbered(documents([(i, " ".join(rng.sample(words, 160))) for i in range(400)]))
+    _, sets = line_dedup.classes(docs, "__row", "doc_id", "text", 0.8)
+    pairs, many = line_dedup.candidates(sets, 0.8, 512)
+    # a prefix has 34 of the words, so about half of the 79,800 pairs meet; none is similar
+    assert pairs.count() < 100 and many.count() == 0
+
+
 def test_lines_with_words(spark):
     lines = ["", " ", "\t \r", "\x0b\x0c", " a", "\tb ", "\u00a0", "é"]
     df = spark.createDataFrame([(x,) for x in lines], "line string")

@@ -38,8 +38,7 @@ THRESHOLD = 0.8
 GROUP = 512  # sets with a prefix word, up to which pairs are emitted
 SLOTS = 1 << 18  # of the table of counts: 256 KB, whatever the size of the corpus
 STEPS = 23  # of a size class in a power of e: 4.4 % each, exact below 23 words
-LONG = 96  # size class (65 words) from which a set has a map of two parts
-_BITS = 45  # of one part
+_BITS, _MORE = 45, 64  # of the parts of a map
 _FIELD = 512  # size classes, and shares of a set before a word
 _HASH = (1 << 57) - 1
 _EMPTY = -7444071767201028348  # xxhash64 of the empty string with the default seed
@@ -93,10 +92,14 @@ def numbers(line: Column, table: Column) -> Column:
     return F.sort_array(F.transform(word_hashes(line), number))
 
 
-def flipped(words: Column) -> Column:
-    """A map of 45 bits, in which each word flips one."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(F.call_function(
-        "shiftleft", F.lit(1).cast("long"), (F.shiftright(x, 6) % _BITS).cast("int"))))
+def flipped(words: Column, start: int, width: int) -> Column:
+    """`width` bits, from `start` on, of a map of 109 bits in which each word flips one."""
+    def flip(bits: Column, x: Column) -> Column:
+        at = (F.shiftright(x, 6) % (_BITS + _MORE)).cast("int") - start
+        return F.when(at.between(0, width - 1), bits.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), at))).otherwise(bits)
+
+    return F.aggregate(words, F.lit(0).cast("long"), flip)
 
 
 def size_class(n: Column) -> Column:
@@ -111,19 +114,15 @@ def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
             threshold: float) -> tuple[DataFrame, DataFrame]:
     """(id, first) and (id, n, map, second, prefix) of each distinct set; `first` is its first place.
 
-    Long sets have the other part of their map in `second`, which is 0 for the others.
+    `second` is the other part of its map.
     """
     lines = lines_of(docs, row_col, id_col, text_col)
     numbered = lines.select("doc_id", "row", "no", numbers(F.col("line"), rarity(lines)).alias(
         "set")).where(F.size("set") > 0)
     n = F.size("set")
     kept = (n - F.ceil(n * F.lit(threshold) - 1e-9) + 2).cast("int")
-    long = size_class(n) >= LONG
-    # the parts are made so that both together (exclusive or) are the map of the whole set
-    first, second = (flipped(F.filter("set", lambda x: (F.shiftright(x, 6) % (2 * _BITS) < _BITS)
-                                      == F.lit(own))) for own in (True, False))
-    parts = [F.when(long, first).otherwise(flipped(F.col("set"))).alias("map"),
-             F.when(long, second).otherwise(F.lit(0).cast("long")).alias("second")]
+    parts = [flipped(F.col("set"), 0, _BITS).alias("map"),
+             flipped(F.col("set"), _BITS, _MORE).alias("second")]
     described = numbered.select(
         F.xxhash64("set").alias("h1"), F.xxhash64("set", F.lit(7)).alias("h2"),
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "no").alias("first"),
@@ -167,11 +166,8 @@ def likely(threshold: float) -> Column:
 
     Sizes are known by class, so a filter takes the bound that drops no similar pair.
     """
-    apart = F.col("a.map").bitwiseXOR(F.col("b.map"))
-    others = F.col("a.second").bitwiseXOR(F.col("b.second"))
-    bits = F.when((F.col("a.size") >= LONG) & (F.col("b.size") >= LONG),
-                  F.bit_count(apart) + F.bit_count(others)).otherwise(
-        F.bit_count(apart.bitwiseXOR(others)))
+    bits = (F.bit_count(F.col("a.map").bitwiseXOR(F.col("b.map")))
+            + F.bit_count(F.col("a.second").bitwiseXOR(F.col("b.second"))))
     least = F.col("a.least") + F.col("b.least")
     share = (1 - threshold) / (1 + threshold)  # of both sizes: words that only one set has
     return ((F.abs(F.col("a.size") - F.col("b.size")) <= STEPS * math.log(1 / threshold) + 1 + 1e-6)
