@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: five stages, each one operator of tidemark.llm.
 
 A stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a frame
-that is written as Parquet and read again as the next stage's documents. All stages but the last
+that is written as Parquet and read again as the next stage's documents. A stage's intermediates
+and what it read are removed when its result is written. All stages but the last
 return the columns of `documents`, whatever else those hold; n_chars follows the text.
 """
 
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, line_dedup, packing, quality, suffix_dedup
-from tidemark.llm.common import fresh_path, stored, table
+from tidemark.llm.common import fresh_path, scratch, stored, table
 from tidemark.llm.queries import tokenizer_path
+from tidemark.sources.files import delete
 
 _ROW = "__row"
 
@@ -73,9 +75,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        if read is not None:
+            delete(spark, read)
+        docs, read = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

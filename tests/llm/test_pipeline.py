@@ -49,3 +49,12 @@ def test_run(spark):
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
                            "offset"]
     assert out.count() > 0 and p.ORACLE_SQL is None
+
+
+def test_run_removes_what_stages_leave(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("tidemark.llm.common.shared_dir", lambda _: str(tmp_path))
+    out = p.run(spark, "/root/testdata/sf0.001")
+    left = {x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir()}
+    assert "suffix-array-dedup" in left and "numbered" not in left
+    assert not left & {name.replace(" ", "-") for name, _ in p.STAGES[:3]}
+    assert out.count() > 0

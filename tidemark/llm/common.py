@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import delete
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,8 +32,30 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_open: list[list[str]] = []  # paths of each `scratch` that is entered
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _open:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes in the end what was written below the shared folder by then.
+
+    For steps whose results are written elsewhere by then: frames that read the rest are void.
+    """
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open[:] = [p for p in _open if p is not paths]
+        for path in paths:
+            delete(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
