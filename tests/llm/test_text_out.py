@@ -115,6 +115,30 @@ def test_n_best_against_all_paths(text):
         assert all(v.decode(ids) == text for _, ids in got)
 
 
+@pytest.mark.parametrize("text", ["▁international", "▁don't", "▁😀é日x", "▁", "zzzz▁▁ab"])
+def test_two_best_reads_a_text_in_few_slices(text):
+    class Counted(str):
+        slices = 0
+
+        def __getitem__(self, at):
+            Counted.slices += isinstance(at, slice)
+            return str.__getitem__(self, at)
+
+    v = pieces.vocabulary(PIECES)
+    paths = sorted((s for s, _ in every_path(v, text)), reverse=True)
+    score, ids, loss = v.two_best(Counted(text))
+    assert Counted.slices <= len(text)  # and not one for each beginning of a piece
+    assert score == paths[0] and (score, ids) in every_path(v, text)
+    assert loss == (paths[0] - paths[1] if len(paths) > 1 else float("inf"))
+
+
+@pytest.mark.parametrize("unit", ["", "a", "▁the", "▁one.", "..a!?b", "▁日本 ñ€😀 b", "▁\0x"])
+def test_parts_are_cut_where_no_piece_spans(unit):
+    v = pieces.vocabulary(PIECES)
+    cuts = [k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in v.joined]
+    assert v.parts(unit) == [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+
+
 def test_pieces_rows(documents):
     docs = documents(AWKWARD)
     out = pieces.encode(docs, PIECES)

@@ -24,6 +24,7 @@ import re
 import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,7 @@ from tidemark.llm.common import in_slices
 
 N_BEST = 4
 SPACE = "▁"
-_CACHE_UNITS = 600_000
-_NO_PIECE = (0.0, b"")  # no piece begins like this
+_CACHE_UNITS = 1_000_000
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -52,20 +52,33 @@ class Vocabulary:
                  if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.pieces = {names[i]: (model.get_score(i), struct.pack("<I", i)) for i in usual}
         self.longest = max(map(len, self.pieces))
-        # all beginnings of pieces, with what is known of those that are pieces
-        self.begun = {p[:k]: None for p in self.pieces for k in range(1, len(p))} | self.pieces
+        # a tree of the pieces by their characters: what is known of a piece, and what goes on
+        self.tree: dict[str, list] = {}
+        for piece, known in self.pieces.items():
+            below = self.tree
+            for c in piece[:-1]:
+                below = below.setdefault(c, [None, {}])[1]
+            below.setdefault(piece[-1], [None, {}])[0] = (*known, len(piece))
         self.bytes = {int(names[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.unknown = min(s for s, _ in self.pieces.values()) - 10
         self.joined = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.lines_apart = not any("\n" in pair for pair in self.joined)
         self.texts = [b""] * size
         for i in usual:
             self.texts[i] = names[i].replace(SPACE, " ").encode()
         for value, i in self.bytes.items():
             self.texts[i] = bytes([value])
+        self.add(*self.pieces)
         self.atoms: dict[str, tuple[float, bytes, float]] = {}
         self.choices: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
         self.units = _Units(self)
 
+    def add(self, *texts: str) -> None:
+        """Lets the tree write each character of the texts as bytes, if it is no piece."""
+        for char in set().union(*texts):
+            begun = self.tree.setdefault(char, [None, {}])
+            begun[0] = begun[0] or (*self.edges(char, 0, 1), 1)
+
     def edges(self, text: str, j: int, i: int) -> tuple[float, bytes] | None:
         found = self.pieces.get(text[j:i])
         if found is None and j == i - 1:
@@ -75,35 +88,35 @@ class Vocabulary:
 
     def two_best(self, text: str) -> tuple[float, bytes, float]:
         """Best score, its ids, and how much less the second best has (infinite: none)."""
-        begun, none, size = self.begun.get, -float("inf"), len(text)
+        tree, most = self.tree, self.longest
+        none, size = -float("inf"), len(text)
         best, second = [0.0] + [none] * size, [none] * (size + 1)
-        back: list[tuple[int, bytes]] = [(0, b"")] * (size + 1)
+        back: list[tuple[float, bytes, int]] = [(0.0, b"", 0)] * (size + 1)
         for j in range(size):
             b, c = best[j], second[j]
-            if text[j] not in self.pieces:
-                one = self.edges(text, j, j + 1)
-                if b + one[0] > best[j + 1]:
-                    second[j + 1] = max(best[j + 1], c + one[0])
-                    best[j + 1], back[j + 1] = b + one[0], (j, one[1])
-                else:
-                    second[j + 1] = max(second[j + 1], b + one[0])
-            for i in range(j + 1, size + 1):
-                found = begun(text[j:i], _NO_PIECE)
-                if found is _NO_PIECE:
+            below, i = tree, j
+            for char in text[j : j + most]:
+                if char not in below:
                     break
+                found, below = below[char]
+                i += 1
                 if found is not None:
                     s = b + found[0]
                     old = best[i]
                     if s > old:
                         other = c + found[0]
                         second[i] = old if old > other else other
-                        best[i], back[i] = s, (j, found[1])
+                        best[i], back[i] = s, found
                     elif s > second[i]:
                         second[i] = s
-        ids, at = [], len(text)
+        if best[-1] == none:  # a character that is in no piece
+            self.add(text)
+            return self.two_best(text)
+        ids, at = [], size
         while at:
-            at, piece = back[at]
-            ids.append(piece)
+            piece = back[at]
+            ids.append(piece[1])
+            at -= piece[2]
         return best[-1], b"".join(ids[::-1]), best[-1] - second[-1]
 
     def n_best(self, text: str, n: int) -> list[tuple[float, bytes]]:
@@ -136,10 +149,14 @@ class Vocabulary:
         return out
 
     def parts(self, unit: str) -> list[str]:
-        if self.joined.issuperset(map("".join, zip(unit, unit[1:]))):
-            return [unit]
-        cuts = [k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in self.joined]
-        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+        together = [*map(self.joined.__contains__, map(add, unit, unit[1:]))]
+        out, at = [], 0
+        for _ in range(together.count(False)):
+            cut = together.index(False, at) + 1
+            out.append(unit[at:cut])
+            at = cut
+        out.append(unit[at:])
+        return out
 
     def encode(self, text: str | None, n: int = N_BEST) -> list[tuple[float, bytes]]:
         """The n best (score, ids); ids are little-endian, 32 bits each."""
@@ -212,18 +229,34 @@ class _Units(dict):
     def __missing__(self, unit: str) -> tuple[float, bytes, float]:
         if len(self) >= _CACHE_UNITS:
             self.clear()
+        value = None
+        head = 2 if unit[:1] == "\0" else 1
+        several = "\n" in unit[head:] and self.vocabulary.lines_apart
+        for found in self.lines(unit, head) if several else self.atoms(unit):
+            if value is None:
+                value = found
+            else:
+                value = (value[0] + found[0], value[1] + found[1],
+                         value[2] if value[2] < found[2] else found[2])
+        self[unit] = value
+        return value
+
+    def lines(self, unit: str, head: int) -> Iterator[tuple[float, bytes, float]]:
+        """Values of the lines of a unit, which are met more often than the whole."""
+        first, *others = unit[head:].split("\n")
+        yield self[unit[:head] + first]
+        for other in others:
+            yield self["\0\n" + other]
+
+    def atoms(self, unit: str) -> Iterator[tuple[float, bytes, float]]:
         v = self.vocabulary
-        score, ids, loss = 0.0, b"", float("inf")
         for part in v.parts(unit[1:] if unit[:1] == "\0" else SPACE + unit):
             found = v.atoms.get(part)
             if found is None:
                 if len(v.atoms) >= _CACHE_UNITS:
                     v.atoms.clear()
                 found = v.atoms[part] = v.two_best(part)
-            score, ids, loss = score + found[0], ids + found[1], min(loss, found[2])
-        value = (score, ids, loss)
-        self[unit] = value
-        return value
+            yield found
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
