@@ -92,11 +92,12 @@ def numbers(line: Column, table: Column) -> Column:
     return F.sort_array(F.transform(word_hashes(line), number))
 
 
-def flipped(words: Column, start: int, width: int) -> Column:
-    """`width` bits, from `start` on, of a map of 109 bits in which each word flips one."""
+def flipped(words: Column, more: bool) -> Column:
+    """A part of a map of 109 bits in which each word flips one: the first 45 bits, or the others."""
     def flip(bits: Column, x: Column) -> Column:
-        at = (F.shiftright(x, 6) % (_BITS + _MORE)).cast("int") - start
-        return F.when(at.between(0, width - 1), bits.bitwiseXOR(
+        at = (F.shiftright(x, 6) % (_BITS + _MORE)).cast("int")
+        # shifts count modulo 64, so that the others have a bit each, too
+        return F.when(at >= _BITS if more else at < _BITS, bits.bitwiseXOR(
             F.call_function("shiftleft", F.lit(1).cast("long"), at))).otherwise(bits)
 
     return F.aggregate(words, F.lit(0).cast("long"), flip)
@@ -121,8 +122,7 @@ def classes(docs: DataFrame, row_col: str, id_col: str, text_col: str,
         "set")).where(F.size("set") > 0)
     n = F.size("set")
     kept = (n - F.ceil(n * F.lit(threshold) - 1e-9) + 2).cast("int")
-    parts = [flipped(F.col("set"), 0, _BITS).alias("map"),
-             flipped(F.col("set"), _BITS, _MORE).alias("second")]
+    parts = [flipped(F.col("set"), False).alias("map"), flipped(F.col("set"), True).alias("second")]
     described = numbered.select(
         F.xxhash64("set").alias("h1"), F.xxhash64("set", F.lit(7)).alias("h2"),
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "no").alias("first"),
@@ -203,6 +203,11 @@ def met(rows: DataFrame, threshold: float, group: int) -> tuple[DataFrame, DataF
             stored(found.where("id is not null").drop("a", "b"), "many"))
 
 
+def frequent(hot: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets with words of many sets, each once, and these `words`. `hot` holds (key, id)."""
+    return hot.groupBy("id").agg(F.collect_list("key").alias("words")).join(sets, "id")
+
+
 def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) to verify, and (key, id, about, second, sets) of keys of more sets.
 
@@ -220,7 +225,7 @@ def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame
     tail = F.slice("prefix", at + 2, F.size("prefix"))
     alone = n * threshold <= 1
     tail = F.when(alone, F.concat(tail, F.array(F.lit(0).cast("long")))).otherwise(tail)
-    by_two = hot.select("id", F.col("key").alias("word")).join(sets, "id").withColumn(
+    by_two = frequent(hot, sets).select("*", F.explode("words").alias("word")).withColumn(
         "at", (F.array_position("prefix", F.col("word")) - 1).cast("int")).select(
         "id", "n", "map", "second", "at", "word", F.posexplode(tail).alias("step", "next"))
     more, many = met(by_two.select(
@@ -235,13 +240,14 @@ def whole_sets(docs: DataFrame, ids: DataFrame, places: DataFrame, row_col: str,
                text_col: str) -> DataFrame:
     """Stored (id, set, first) of the classes `ids`, read from the texts of their first lines."""
     by_row = ids.join(places, "id").groupBy(F.col("first.row").alias("row")).agg(
-        F.map_from_entries(F.collect_list(F.struct("first.no", "id"))).alias("ids"))
+        F.map_from_entries(F.collect_list(F.struct("first.no", F.struct("id", "first")))).alias(
+            "at"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return stored(
         docs.select(F.col(f"`{row_col}`").cast("long").alias("row"), text.alias("text"))
-        .join(by_row, "row").select("ids", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-        .select(F.col("ids")[F.col("no")].alias("id"), "line").where("id is not null")
-        .select("id", word_hashes(F.col("line")).alias("set")).join(places, "id"), "sets")
+        .join(by_row, "row").select("at", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+        .select(F.col("at")[F.col("no")].alias("at"), "line").where("at is not null")
+        .select("at.id", word_hashes(F.col("line")).alias("set"), "at.first"), "sets")
 
 
 def removed_in_pairs(pairs: DataFrame, whole: DataFrame, places: DataFrame,
