@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, line_dedup, packing, quality, suffix_dedup
-from tidemark.llm.common import fresh_path, scratch, stored, table
+from tidemark.llm.common import fresh_path, scratch, shuffles_removed, stored, table
 from tidemark.llm.queries import tokenizer_path
 from tidemark.sources.files import delete
 
@@ -79,7 +79,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, name.replace(" ", "-"))
         with scratch(spark):
-            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+            made = stage(spark, docs, sf_dir)
+            with shuffles_removed(spark):
+                made.select("*").write.option("compression", "zstd").parquet(path)
         if read is not None:
             delete(spark, read)
         docs, read = spark.read.parquet(path), path

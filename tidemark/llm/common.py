@@ -58,13 +58,41 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an execution whose frame is made inside go when it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame below the shared folder and reads it back, which cuts its lineage."""
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.select("*").write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Writes a frame as a table bucketed by `key` below the shared folder and reads it back."""
+    spark = df.sparkSession
+    made = f"{name}_{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        (df.repartition(tasks(spark), key).write.bucketBy(tasks(spark), key)
+         .option("compression", "zstd").option("path", fresh_path(spark, name)).saveAsTable(made))
+    return spark.table(made)
+
+
 def release(df: DataFrame) -> None:
     """Empties a table that `stored` has made, once nothing reads it any more."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

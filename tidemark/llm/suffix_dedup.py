@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_path, in_slices, stored, tasks
+from tidemark.llm.common import fresh_path, in_slices, shuffles_removed, stored, tasks
 
 LENGTH = 200
 SLACK = 128  # offsets of an anchor in a window, a power of two
@@ -103,10 +103,11 @@ def distinct_texts(docs: DataFrame, row_col: str, text_col: str,
                                               F.count("*").alias("copies")), "texts")
     name = f"texts_{uuid.uuid4().hex}"
     # dealt out by row whatever kind of join follows, so that each bucket is one file
-    (plain.where(F.octet_length("text") >= length).repartition(tasks(spark), "row")
-     .join(classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
-     .write.bucketBy(tasks(spark), "node").option("compression", "zstd")
-     .option("path", fresh_path(spark, "texts")).saveAsTable(name))
+    with shuffles_removed(spark):
+        (plain.where(F.octet_length("text") >= length).repartition(tasks(spark), "row")
+         .join(classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
+         .write.bucketBy(tasks(spark), "node").option("compression", "zstd")
+         .option("path", fresh_path(spark, "texts")).saveAsTable(name))
     return keyed.join(classes, "key").drop("key"), spark.table(name)
 
 
