@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -162,6 +163,25 @@ def test_line_dedup_pairs_of_long_lines_are_few(documents):
     assert pairs.count() < 100 and many.count() == 0
 
 
+def test_line_dedup_leaves_sets_with_frequent_words_in_place(documents, monkeypatch):
+    """Words of many sets are joined with the prefixes, not each set again by its id."""
+    seen = []
+
+    def watched(df, name):
+        seen.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name)
+
+    stored = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    docs = numbered(documents(crowded()))
+    _, sets = line_dedup.classes(docs, "__row", "doc_id", "text", 0.8)
+    _, many = line_dedup.candidates(sets, 0.8, 3)
+    assert many.count() > 0
+    plans = [plan for name, plan in seen if name == "pairs"]
+    assert len(plans) == 2 and not any(re.search(r"Join Inner, \(id#\d+L = id#\d+L\)", p)
+                                       for p in plans)
+
+
 def test_lines_with_words(spark):
     lines = ["", " ", "\t \r", "\x0b\x0c", " a", "\tb ", "\u00a0", "é"]
     df = spark.createDataFrame([(x,) for x in lines], "line string")

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release, stored
+from tidemark.llm.common import bucketed, release, shuffles_removed, stored
 
 THRESHOLD = 0.8
 GROUP = 512  # sets with a prefix word, up to which pairs are emitted
@@ -79,7 +79,8 @@ def rarity(lines: DataFrame) -> Column:
              .select(F.struct("slot", upper.alias("upper")).alias("s"))
              .agg(F.array_sort(F.collect_list("s")).alias("all"))
              .select(F.array_join(F.transform("all", lambda s: s["upper"]), "").alias("table")))
-    return F.lit(bytearray(whole.first()["table"].encode("ascii")))
+    with shuffles_removed(lines.sparkSession):
+        return F.lit(bytearray(whole.select("table").first()["table"].encode("ascii")))
 
 
 def numbers(line: Column, table: Column) -> Column:
@@ -220,8 +221,10 @@ def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame
     tail = F.slice("prefix", at + 2, F.size("prefix"))
     alone = n * threshold <= 1
     tail = F.when(alone, F.concat(tail, F.array(F.lit(0).cast("long")))).otherwise(tail)
-    by_two = hot.select("id", F.col("key").alias("word")).join(sets, "id").withColumn(
-        "at", (F.array_position("prefix", F.col("word")) - 1).cast("int")).select(
+    # the words are at most 1/group of all prefix words, so the sets stay where they are
+    words = stored(hot.select(F.col("key").alias("word")).distinct(), "words")
+    by_two = sets.select("id", "n", "map", "second", "prefix", F.posexplode(
+        F.slice("prefix", F.lit(1), plain)).alias("at", "word")).join(words, "word").select(
         "id", "n", "map", "second", "at", "word", F.posexplode(tail).alias("step", "next"))
     more, many = met(by_two.select(
         F.xxhash64("word", "next").alias("key"), "id",
@@ -233,22 +236,25 @@ def candidates(sets: DataFrame, threshold: float, group: int) -> tuple[DataFrame
 
 def whole_sets(docs: DataFrame, ids: DataFrame, places: DataFrame, row_col: str,
                text_col: str) -> DataFrame:
-    """Stored (id, set, first) of the classes `ids`, read from the texts of their first lines."""
+    """(id, first, set) of the classes `ids`, read from the texts of their first lines.
+
+    A table bucketed by id, so that joins read it without a shuffle.
+    """
     by_row = ids.join(places, "id").groupBy(F.col("first.row").alias("row")).agg(
-        F.map_from_entries(F.collect_list(F.struct("first.no", "id"))).alias("ids"))
+        F.map_from_entries(F.collect_list(F.struct("first.no", F.struct("id", "first")))).alias(
+            "at"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return stored(
+    return bucketed(
         docs.select(F.col(f"`{row_col}`").cast("long").alias("row"), text.alias("text"))
-        .join(by_row, "row").select("ids", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-        .select(F.col("ids")[F.col("no")].alias("id"), "line").where("id is not null")
-        .select("id", word_hashes(F.col("line")).alias("set")).join(places, "id"), "sets")
+        .join(by_row, "row").select("at", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+        .select(F.col("at")[F.col("no")].alias("at"), "line").where("at is not null")
+        .select("at.id", "at.first", word_hashes(F.col("line")).alias("set")), "id", "sets")
 
 
-def removed_in_pairs(pairs: DataFrame, whole: DataFrame, places: DataFrame,
-                     threshold: float) -> DataFrame:
+def removed_in_pairs(pairs: DataFrame, whole: DataFrame, threshold: float) -> DataFrame:
     """Stored (id) of the later classes of the pairs that are similar."""
-    early = places.select(F.col("id").alias("a"), F.col("first").alias("fa"))
-    late = places.select(F.col("id").alias("b"), F.col("first").alias("fb"))
+    early = whole.select(F.col("id").alias("a"), F.col("first").alias("fa"))
+    late = whole.select(F.col("id").alias("b"), F.col("first").alias("fb"))
     turn = F.col("fa") < F.col("fb")
     ordered = stored(pairs.join(early, "a").join(late, "b").select(
         F.when(turn, F.col("a")).otherwise(F.col("b")).alias("early"),
@@ -277,8 +283,14 @@ def removed_in_blocks(many: DataFrame, whole: DataFrame, gone: DataFrame, thresh
     dealt = unpacked(many).withColumns(
         {"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
 
+    def with_sets(rows: DataFrame) -> DataFrame:
+        # a set is joined once, however many keys it has
+        at = F.collect_list(F.struct(*[c for c in rows.columns if c != "id"])).alias("at")
+        return rows.groupBy("id").agg(at).join(whole, "id").select(
+            "id", "first", "set", F.inline("at"))
+
     def matched(late: DataFrame, early: DataFrame) -> DataFrame:
-        a, b = early.join(whole, "id").alias("a"), late.join(whole, "id").alias("b")
+        a, b = early.alias("a"), late.alias("b")
         return b.join(
             a, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
             & (F.col("a.first") < F.col("b.first")) & likely(threshold)
@@ -286,11 +298,12 @@ def removed_in_blocks(many: DataFrame, whole: DataFrame, gone: DataFrame, thresh
 
     # similar sets have most keys in common, so most find an earlier one at the least of them
     least = dealt.join(dealt.groupBy("id").agg(F.min("key").alias("key")), ["id", "key"])
-    own = stored(matched(least.join(gone, "id", "left_anti"), least).distinct(), "lines")
+    own = stored(matched(least.join(gone, "id", "left_anti").join(whole, "id"),
+                         least.join(whole, "id")).distinct(), "lines")
     rest = stored(dealt.join(gone.unionAll(own), "id", "left_anti"), "rest")
     early = dealt.join(rest.select("key").distinct(), "key", "left_semi")
-    late = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return own.unionAll(matched(late, early))
+    late = with_sets(rest).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return own.unionAll(matched(late, with_sets(early)))
 
 
 def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, text_col: str,
@@ -299,7 +312,7 @@ def removed(docs: DataFrame, places: DataFrame, sets: DataFrame, row_col: str, t
     pairs, many = candidates(sets, threshold, group)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(many.select("id"))
     whole = whole_sets(docs, ids.distinct(), places, row_col, text_col)
-    gone = removed_in_pairs(pairs, whole, places, threshold)
+    gone = removed_in_pairs(pairs, whole, threshold)
     return gone.unionAll(removed_in_blocks(many, whole, gone, threshold, group)).distinct()
 
 
