@@ -149,3 +149,16 @@ def test_windows_count_listed_days(spark, tmp_path):
     got = {r.day: r[AGENT_7D] for r in area.view("org_from_users").collect()}
     assert got == {d: int(i < 7) for i, d in enumerate(listed)}
     assert refresh.user_summary(spark, area.out).count() == 1
+
+
+def test_the_stream_opens_no_file(spark, tmp_path, rows):
+    """It needs the days of new files; with the content a task would hold whole files."""
+    area = Landing(spark, tmp_path)
+    area.put("2025-01-01", "01", [user("2025-01-01", "a"), user("2025-01-01", "b")])
+    longest = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(longest, "1")  # content of more bytes is an error
+    try:
+        area.refresh()
+    finally:
+        spark.conf.unset(longest)
+    assert rows(area.view(), "day", "user_login") == [("2025-01-01", "a"), ("2025-01-01", "b")]

@@ -245,8 +245,10 @@ def refresh(
             refresh_batch(spark, landing, out, table, touched, stream, number, org, buckets)
 
     files = spark.readStream.format("binaryFile").schema(landed.FILES).load(f"{landing}/{table}")
+    # A batch is computed with all columns of the stream, whatever is selected from it later: with
+    # the content among them, each task would hold a whole file several times over.
     stream = (
-        files.writeStream.foreachBatch(apply)
+        files.select("day").writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
